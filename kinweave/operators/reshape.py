@@ -196,10 +196,13 @@ def reference_keys(ref: DataFrame) -> DataFrame:
     )
 
 
-def prizes_frame(ref: DataFrame) -> DataFrame:
-    """One row per record and prize, typed and with its prize id."""
-    prizes = ref.select("id", F.explode_outer("prizes").alias("p"))
+def prizes_frame(ref: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per record and prize, typed and with its prize id. ``keep`` carries more
+    columns of the record, such as its position, for use as a merge order."""
+    keep = keep or []
+    prizes = ref.select("id", *keep, F.explode_outer("prizes").alias("p"))
     return prizes.select(
+        *keep,
         short_category(F.col("p.category")).alias("category"),
         F.concat(F.lit("l"), F.col("id")).alias("laureate_id"),
         make_key(F.col("p.awardYear"), short_category(F.col("p.category")), sep="_").alias(
