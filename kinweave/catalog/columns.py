@@ -14,11 +14,10 @@ from kinweave.catalog.sql import build
 from kinweave.functions import columns as C
 from kinweave.functions.checks import validate
 from kinweave.operators import keys, numbering, reshape
-from kinweave.operators.nested import enrich_tree, laureate_lookup, scholar_lookup
 from kinweave.operators.paths import Graph, Hop, match
 from kinweave.operators.upsert import match_endpoints
 from kinweave.schemas import TREE
-from kinweave.session import shared_dir
+from kinweave.session import materialise, shared_dir
 from kinweave.sources.records import assemble_pages, read_records, write_records
 from kinweave.sources.tables import DuplicateKeyError, GraphFolder, pk_violations
 
@@ -422,7 +421,7 @@ def b23(spark, d):
     build("SELECT parent_name, child_name, parent_id, child_id FROM mentor_rows"),
 )
 def c1(spark, d):
-    return reshape.mentor_pairs(shapes.tree_with_ids(spark, d))
+    return reshape.mentor_pairs(materialise(shapes.tree_with_ids(spark, d), "tree"))
 
 
 @query(
@@ -451,12 +450,7 @@ def c2(spark, d):
 
 @query("c3_enrich_tree", build("SELECT entry_id, grp, CAST(pos AS BIGINT) AS pos, name, id FROM elements"))
 def c3(spark, d):
-    entries = shapes.tree(spark, d)
-    ids = reshape.entity_ids(entries)
-    lookup = laureate_lookup(shapes.mapping(spark, d), "position").unionByName(
-        scholar_lookup(ids.withColumn("n", F.expr("cast(substr(id, 2) as long)")), "n")
-    )
-    done = enrich_tree(entries, lookup, "entry_id")
+    done = materialise(shapes.tree_with_ids(spark, d), "tree")
     parts = [
         done.select("entry_id", F.lit(g).alias("grp"), F.posexplode(g).alias("pos", "x"))
         for g in ("children", "parents")
@@ -758,6 +752,7 @@ def f9(spark, d):
              FROM mentor_rows GROUP BY ALL"""),
 )
 def f10(spark, d):
-    return reshape.mentor_pairs(shapes.tree_with_ids(spark, d), weighted=True)
+    tree = materialise(shapes.tree_with_ids(spark, d), "tree")
+    return reshape.mentor_pairs(tree, weighted=True)
 
 

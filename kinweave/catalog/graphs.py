@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from kinweave.catalog import shapes
@@ -19,54 +21,62 @@ from kinweave.operators.reshape import (
 from kinweave.operators.upsert import merge_edges, merge_nodes
 from kinweave.plans import graph as G
 from kinweave.schemas import EDGES, NODES
+from kinweave.session import materialise
 from kinweave.sources.tables import GraphFolder
 
 
 class Parts:
-    """The frames and node tables of the graph over the given tables, as lazy plans."""
+    """The frames and node tables of the graph over the given tables.
+
+    What several steps of one query read is written once and read back pruned.
+    """
 
     def __init__(self, spark, d):
         self.spark, self.d = spark, d
 
-    @property
+    @cached_property
     def ref(self):
-        return shapes.reference(self.spark, self.d)
+        return materialise(shapes.reference(self.spark, self.d), "reference")
 
-    @property
+    @cached_property
     def persons(self):
         return persons_frame(self.ref)
 
-    @property
+    @cached_property
     def affiliations(self):
-        return affiliations_frame(self.ref)
+        return materialise(affiliations_frame(self.ref), "affiliations")
 
-    @property
+    @cached_property
     def prizes(self):
         return prizes_frame(self.ref)
 
-    @property
+    @cached_property
     def tree(self):
-        return shapes.tree_with_ids(self.spark, self.d)
+        return materialise(shapes.tree_with_ids(self.spark, self.d), "tree")
 
-    @property
+    @cached_property
     def laureates(self):
         return G.person_nodes(None, self.persons).table
 
-    @property
+    @cached_property
+    def scholars(self):
+        entities = stack_entities(self.tree, sort=False)
+        return materialise(G.scholar_nodes(self.laureates, entities).table, "scholars")
+
+    @cached_property
     def cities(self):
-        return G.affiliation_city_nodes(
-            G.birth_city_nodes(None, self.persons).table, self.affiliations
-        ).table
+        birth = G.birth_city_nodes(None, self.persons).table
+        return materialise(G.affiliation_city_nodes(birth, self.affiliations).table, "cities")
 
-    @property
+    @cached_property
     def countries(self):
-        return G.birth_country_nodes(None, self.persons).table
+        return materialise(G.birth_country_nodes(None, self.persons).table, "countries")
 
-    @property
+    @cached_property
     def institutions(self):
-        return G.institution_nodes(None, self.affiliations).table
+        return materialise(G.institution_nodes(None, self.affiliations).table, "institutions")
 
-    @property
+    @cached_property
     def continents(self):
         return G.continent_nodes(None, self.affiliations).table
 
@@ -147,7 +157,8 @@ def g2(spark, d):
              WHERE scholar_type = 'laureate'"""),
 )
 def g3(spark, d):
-    return Parts(spark, d).laureates.select(
+    persons = persons_frame(shapes.reference(spark, d))
+    return G.person_nodes(None, persons).table.select(
         "id",
         "scholar_type",
         "name",
@@ -159,9 +170,7 @@ def g3(spark, d):
 
 @query("g4_scholar_nodes", build("SELECT id, scholar_type, name, full_name FROM g_scholar"))
 def g4(spark, d):
-    parts = Parts(spark, d)
-    merged = G.scholar_nodes(parts.laureates, stack_entities(parts.tree, sort=False))
-    return merged.table.select("id", "scholar_type", "name", F.col("fullName").alias("full_name"))
+    return Parts(spark, d).scholars.select("id", "scholar_type", "name", F.col("fullName").alias("full_name"))
 
 
 @query(
@@ -170,7 +179,8 @@ def g4(spark, d):
              FROM g_prize"""),
 )
 def g5(spark, d):
-    return G.prize_nodes(None, Parts(spark, d).prizes).table.select(
+    prizes = prizes_frame(shapes.reference(spark, d))
+    return G.prize_nodes(None, prizes).table.select(
         "id",
         F.col("awardYear").alias("award_year"),
         "category",
@@ -182,17 +192,17 @@ def g5(spark, d):
 
 @query("g6_city_nodes", build("SELECT name, state FROM g_birth_city"))
 def g6(spark, d):
-    return G.birth_city_nodes(None, Parts(spark, d).persons).table
+    return G.birth_city_nodes(None, persons_frame(shapes.reference(spark, d))).table
 
 
 @query("g7_country_nodes", build("SELECT name FROM g_country"))
 def g7(spark, d):
-    return Parts(spark, d).countries
+    return G.birth_country_nodes(None, persons_frame(shapes.reference(spark, d))).table
 
 
 @query("g8_institution_nodes", build("SELECT DISTINCT name_now AS name FROM affiliations"))
 def g8(spark, d):
-    return Parts(spark, d).institutions
+    return G.institution_nodes(None, affiliations_frame(shapes.reference(spark, d))).table
 
 
 @query("g9_city_upsert", build("SELECT name, state FROM g_city"))
@@ -202,18 +212,13 @@ def g9(spark, d):
 
 @query("g10_continent_nodes", build("SELECT DISTINCT continent AS name FROM affiliations"))
 def g10(spark, d):
-    return Parts(spark, d).continents
-
-
-def scholars(parts, tree):
-    return G.scholar_nodes(parts.laureates, stack_entities(tree, sort=False)).table
+    return G.continent_nodes(None, affiliations_frame(shapes.reference(spark, d))).table
 
 
 @query("g11_mentored", build("SELECT src, dst FROM g_mentored"))
 def g11(spark, d):
     parts = Parts(spark, d)
-    tree = parts.tree
-    return G.mentored_edges(None, tree, scholars(parts, tree)).table
+    return G.mentored_edges(None, parts.tree, parts.scholars).table
 
 
 @query(
@@ -224,8 +229,7 @@ def g11(spark, d):
 )
 def g11_counts(spark, d):
     parts = Parts(spark, d)
-    tree = parts.tree
-    return G.mentored_edges(None, tree, scholars(parts, tree)).counts
+    return G.mentored_edges(None, parts.tree, parts.scholars).counts
 
 
 @query("g12_born_in", build("SELECT DISTINCT id AS src, city AS dst FROM persons"))
@@ -306,12 +310,10 @@ MENTORS = build("""SELECT full_name, count(*) AS num_mentored
 @query("g21_mentor_query", MENTORS)
 def g21(spark, d):
     parts = Parts(spark, d)
-    tree = parts.tree
-    people = scholars(parts, tree)
     graph = Graph(
-        nodes={"Scholar": people},
+        nodes={"Scholar": parts.scholars},
         keys={"Scholar": "id"},
-        edges={"MENTORED": G.mentored_edges(None, tree, people).table},
+        edges={"MENTORED": G.mentored_edges(None, parts.tree, parts.scholars).table},
         ends={"MENTORED": ("Scholar", "Scholar")},
     )
     counts = incoming_counts(graph, "MENTORED", "fullName", ["7"], "num_mentored")

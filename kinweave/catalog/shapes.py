@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from kinweave.operators.nested import enrich_tree, laureate_lookup, scholar_lookup
 from kinweave.operators.reshape import entity_ids
 from kinweave.schemas import AFFILIATION_FIELDS, PLACE_FIELDS
+from kinweave.session import materialise
 
 SUPPLIER_BLOCK = 10_000
 ORDER_BLOCK = 50_000
@@ -91,7 +92,7 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tree_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = tree(spark, sf_dir)
+    entries = materialise(tree(spark, sf_dir), "entries")
     ids = entity_ids(entries)
     lookup = laureate_lookup(mapping(spark, sf_dir), "position").unionByName(
         scholar_lookup(ids.withColumn("n", F.expr("cast(substr(id, 2) as long)")), "n")

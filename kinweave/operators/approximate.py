@@ -174,7 +174,13 @@ def approximate_topk(
     )
     rights = (
         placed.filter("_right")
-        .select("target_id", "_vec", "_table", own.alias("_block"))
+        # New names for the columns the two sides share through ``placed``.
+        .select(
+            "target_id",
+            F.col("_vec").alias("_vec"),
+            F.col("_table").alias("_table"),
+            own.alias("_block"),
+        )
         .join(splits, ["_table", "_block"])
         .select(
             "target_id", "_vec", "_table", "_block",
