@@ -34,21 +34,20 @@ class Parts:
     def __init__(self, spark, d):
         self.spark, self.d = spark, d
 
-    @cached_property
-    def ref(self):
-        return materialise(shapes.reference(self.spark, self.d), "reference")
+    # The three frames prune the records differently, so each starts from the lazy plan.
 
     @cached_property
     def persons(self):
-        return persons_frame(self.ref)
+        return materialise(persons_frame(shapes.reference(self.spark, self.d)), "persons")
 
     @cached_property
     def affiliations(self):
-        return materialise(affiliations_frame(self.ref), "affiliations")
+        ref = shapes.reference(self.spark, self.d)
+        return materialise(affiliations_frame(ref), "affiliations")
 
     @cached_property
     def prizes(self):
-        return prizes_frame(self.ref)
+        return materialise(prizes_frame(shapes.reference(self.spark, self.d)), "prizes")
 
     @cached_property
     def tree(self):
@@ -388,7 +387,9 @@ def _count(name, text):
 )
 def p5(spark, d):
     folder = GraphFolder(spark, scratch(spark, "graph"))
-    graph, _ = G.build_graph(folder, shapes.tree_with_ids(spark, d), shapes.reference(spark, d))
+    tree = materialise(shapes.tree_with_ids(spark, d), "tree")
+    ref = materialise(shapes.reference(spark, d), "reference")
+    graph, _ = G.build_graph(folder, tree, ref)
     counts = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in {**graph.nodes, **graph.edges}.items()

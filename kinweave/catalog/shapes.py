@@ -11,18 +11,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kinweave.operators.nested import enrich_tree, laureate_lookup, scholar_lookup
 from kinweave.operators.reshape import entity_ids
 from kinweave.schemas import AFFILIATION_FIELDS, PLACE_FIELDS
-from kinweave.session import materialise
+from kinweave.session import broadcast_if_small, materialise
 
 SUPPLIER_BLOCK = 10_000
 ORDER_BLOCK = 50_000
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file footer the first time only."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def order_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +53,7 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_suppliers(spark, sf_dir)
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("l_orderkey", "sblock")
-        .agg(F.array_sort(F.collect_list(F.struct("l_suppkey", parent.alias("p")))).alias("ps"))
+        .agg(F.sort_array(F.collect_list(F.struct("l_suppkey", parent.alias("p")))).alias("ps"))
         .select("l_orderkey", "sblock", F.transform("ps", lambda x: x["p"]).alias("parents"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -118,11 +126,13 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("n_nationkey", "n_name", "r_name")
     )
+    places = broadcast_if_small(places)
     suppliers = (
         table(spark, sf_dir, "supplier")
         .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", "s_name", "s_nationkey", "n_name", "r_name")
     )
+    suppliers = broadcast_if_small(suppliers)
     city = F.concat(F.lit("City "), F.col("s_nationkey").cast("string"))
     spelling = F.pmod("s_suppkey", F.lit(3))
     city = (
@@ -144,7 +154,7 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_suppliers(spark, sf_dir)
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("l_orderkey", "sblock")
-        .agg(F.array_sort(F.collect_list(F.struct("l_suppkey", affiliation.alias("a")))).alias("x"))
+        .agg(F.sort_array(F.collect_list(F.struct("l_suppkey", affiliation.alias("a")))).alias("x"))
         .select("l_orderkey", "sblock", F.transform("x", lambda x: x["a"]).alias("affiliations"))
     )
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -165,7 +175,7 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(affiliations, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .groupBy("o_custkey", F.expr(f"o_orderkey div {ORDER_BLOCK}").alias("oblock"))
         .agg(
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.struct("o_orderkey", "sblock", prize.alias("p")))
             ).alias("x")
         )

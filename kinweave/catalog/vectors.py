@@ -23,6 +23,7 @@ from kinweave.operators.resolve import (
     resolve,
 )
 from kinweave.operators.upsert import merge_edges
+from kinweave.session import materialise
 
 DOC_GRAMS = gram_views("doc_texts", DIM)
 NAME_GRAMS = gram_views("names", DIM)
@@ -78,14 +79,14 @@ def h2_counts(spark, d):
 )
 def h2(spark, d):
     texts = shapes.texts(spark, d)
-    vectors = embed_free_vectors(texts)
+    vectors = materialise(count_vectors(texts), "grams")
     near = topk_similarity(
         vectors, vectors, 3, left_id="doc_id", right_id="doc_id", block=["lang"], exclude_self=True
     )
     return rounded(near)
 
 
-def embed_free_vectors(texts):
+def count_vectors(texts):
     """Trigram count vectors with the language of each text."""
     return ngram_vectors(texts, "doc_id", "text").join(texts.select("doc_id", "lang"), "doc_id")
 

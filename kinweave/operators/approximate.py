@@ -211,7 +211,7 @@ def approximate_topk(
     # At most 2 * tables * k pairs per source are gathered.
     best = found.groupBy("source_id").agg(
         F.slice(
-            F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("cost"), "target_id"))), 1, k
+            F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("cost"), "target_id"))), 1, k
         ).alias("_best")
     )
     return best.select("source_id", F.posexplode("_best").alias("_pos", "_hit")).select(

@@ -66,7 +66,7 @@ def enrich_tree(tree: DataFrame, lookup: DataFrame, entry_id: str | None = None)
 
     def regroup(group: str) -> Column:
         mine = F.when(F.col("group") == group, F.struct("pos", "item"))
-        items = F.transform(F.array_sort(F.collect_list(mine)), lambda x: x["item"])
+        items = F.transform(F.sort_array(F.collect_list(mine)), lambda x: x["item"])
         return F.when(~F.max(f"_no_{group}"), items).alias(group)
 
     return found.groupBy(key).agg(*[regroup(g) for g in GROUPS]).select(

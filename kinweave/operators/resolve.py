@@ -44,7 +44,7 @@ def candidates(
         neighbours.select("source_id", "target_id", "rank", "score")
         .join(payload, "target_id")
         .groupBy("source_id")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "score", "_record"))).alias("_all"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "score", "_record"))).alias("_all"))
     )
     distinct = F.filter(
         "_all",
@@ -75,7 +75,7 @@ def shuffled(items: Column, record_id: str, seed: int) -> Column:
             x.alias("item"),
         ),
     )
-    return F.transform(F.array_sort(keyed), lambda x: x["item"])
+    return F.transform(F.sort_array(keyed), lambda x: x["item"])
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -124,7 +124,7 @@ def judge_by_score(
     The best score wins, then the smaller id. ``high`` needs a score of at least
     ``threshold`` and a lead of at least ``margin`` over the next candidate.
     """
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform(
             "candidates",
             lambda c: F.struct(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -55,3 +56,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/kinweave/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Rows up to which a narrow side is sent to every task.
+SMALL_SIDE_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to be small, else as it is.
+
+    For sides whose size the optimizer overestimates, such as joins of small tables; a
+    larger side is joined by shuffle.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
