@@ -55,7 +55,7 @@ class Parts:
 
     @cached_property
     def laureates(self):
-        return G.person_nodes(None, self.persons).table
+        return materialise(G.person_nodes(None, self.persons).table, "laureates")
 
     @cached_property
     def scholars(self):
@@ -77,7 +77,7 @@ class Parts:
 
     @cached_property
     def continents(self):
-        return G.continent_nodes(None, self.affiliations).table
+        return materialise(G.continent_nodes(None, self.affiliations).table, "continents")
 
 
 @query(

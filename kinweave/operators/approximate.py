@@ -167,6 +167,7 @@ def approximate_topk(
         .agg(F.count(F.lit(1)).alias("n"))
         .select("_table", "_block", F.ceil(F.col("n") / block_rows).alias("_splits"))
     )
+    splits = materialise(splits, "splits")
     groups = ["_table", "_block", "_split"]
     lefts = visits.join(splits, ["_table", "_block"]).select(
         "source_id", "_vec", "_table", "_block",

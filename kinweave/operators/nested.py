@@ -37,8 +37,11 @@ def enrich_tree(tree: DataFrame, lookup: DataFrame, entry_id: str | None = None)
     the difference between NULL and empty lists, are kept. Elements are looked up one
     by one and regrouped by ``entry_id``; what is regrouped is what the entry held
     before. Without an ``entry_id`` column the entries are numbered and written once,
-    so that the number cannot change when a lost task runs again.
+    so that the number cannot change when a lost task runs again. The lookup is written
+    too: as a stored table its size is known before the join (broadcast or not), and a
+    join of two plain shuffles can be split where one name holds very many elements.
     """
+    lookup = materialise(lookup, "lookup")
     key = entry_id or "_entry"
     if entry_id is None:
         tree = materialise(tree.withColumn(key, F.monotonically_increasing_id()), "tree")

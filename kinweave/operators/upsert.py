@@ -77,7 +77,11 @@ def match_endpoints(
     dst_nodes: DataFrame,
     dst_key: str,
 ) -> DataFrame:
-    """Edges whose two endpoints exist. Node keys are unique, so no row is repeated."""
+    """Edges whose two endpoints exist. Node keys are unique, so no row is repeated.
+
+    Node tables should be stored tables: then both inputs of a join are plain shuffles,
+    and one that holds a node of very many edges is split by adaptive execution.
+    """
     return _has_endpoint(
         _has_endpoint(edges, "src", src_nodes, src_key), "dst", dst_nodes, dst_key
     )
