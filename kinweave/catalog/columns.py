@@ -204,7 +204,7 @@ def b5(spark, d):
                     CASE WHEN p.o_orderkey % 13 <> 0 THEN p.category END AS category,
                     p.amount, a.name_now, a.raw_city AS city
              FROM prize p LEFT JOIN affiliation a
-             ON a.o_orderkey = p.o_orderkey AND a.l_suppkey // 10000 = p.sblock"""),
+             ON a.o_orderkey = p.o_orderkey AND a.sblock = p.sblock"""),
 )
 def b6(spark, d):
     slim = shapes.raw(spark, d).select("id", reshape.slim_prizes(F.col("nobelPrizes")).alias("prizes"))

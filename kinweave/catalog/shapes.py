@@ -18,8 +18,8 @@ from kinweave.operators.reshape import entity_ids
 from kinweave.schemas import AFFILIATION_FIELDS, PLACE_FIELDS
 from kinweave.session import broadcast_if_small, materialise
 
-SUPPLIER_BLOCK = 10_000
-ORDER_BLOCK = 50_000
+SUPPLIER_BLOCK = 1_000
+ORDER_BLOCK = 2_000
 
 
 _SCHEMAS: dict[str, StructType] = {}

@@ -73,7 +73,7 @@ VIEWS: dict[str, str] = {
         JOIN place ON c_nationkey = n_nationkey
         LEFT JOIN (SELECT DISTINCT l_orderkey, sblock FROM tree_lines) b ON l_orderkey = o_orderkey""",
     "affiliation": """
-        SELECT custkey, p.oblock, p.o_orderkey, award_year, l_suppkey, s.s_name AS name_now,
+        SELECT custkey, p.oblock, p.o_orderkey, p.sblock, award_year, s.s_name AS name_now,
                'City ' || s_nationkey AS city, CASE s_suppkey % 3 WHEN 1 THEN r_name END AS state,
                'City ' || s_nationkey || CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN ', ' || r_name
                     ELSE ', ' || r_name || ', X' END AS raw_city,
