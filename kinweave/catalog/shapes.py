@@ -39,6 +39,12 @@ def order_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("sblock", F.expr(f"l_suppkey div {SUPPLIER_BLOCK}"))
 
 
+def _sorted_list(key: str, item: Column) -> Column:
+    """The items of a group in key order; rows without a key give no item."""
+    keyed = F.when(F.col(key).isNotNull(), F.struct(key, item.alias("item")))
+    return F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["item"])
+
+
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree entries: the customer of an order is the child, its suppliers the parents."""
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -49,12 +55,8 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         nothing.cast("string").alias("category"),
         nothing.cast("int").alias("year"),
     )
-    parents = (
-        order_suppliers(spark, sf_dir)
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("l_orderkey", "sblock")
-        .agg(F.sort_array(F.collect_list(F.struct("l_suppkey", parent.alias("p")))).alias("ps"))
-        .select("l_orderkey", "sblock", F.transform("ps", lambda x: x["p"]).alias("parents"))
+    parents = order_suppliers(spark, sf_dir).join(
+        broadcast_if_small(suppliers), F.col("l_suppkey") == F.col("s_suppkey")
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     child = F.struct(
@@ -63,17 +65,22 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("category"),
         F.year("o_orderdate").alias("year"),
     )
-    return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(parents, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            F.concat_ws(":", "o_orderkey", F.coalesce("sblock", F.lit(0))).alias("entry_id"),
-            F.array(child).alias("children"),
-            F.coalesce("parents", F.array()).alias("parents"),
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # The join shuffles by order, which the grouping then needs no second shuffle for.
+    entries = (
+        orders.join(parents, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .groupBy("o_orderkey", "sblock")
+        .agg(
+            F.any_value("o_custkey").alias("o_custkey"),
+            F.any_value("o_orderdate").alias("o_orderdate"),
+            _sorted_list("l_suppkey", parent).alias("parents"),
         )
     )
+    return entries.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.concat_ws(":", "o_orderkey", F.coalesce("sblock", F.lit(0))).alias("entry_id"),
+        F.array(child).alias("children"),
+        "parents",
+    )
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,12 +157,8 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         "continent": F.col("r_name"),
     }
     affiliation = F.struct(*[texts[f].alias(f) for f in AFFILIATION_FIELDS])
-    affiliations = (
-        order_suppliers(spark, sf_dir)
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("l_orderkey", "sblock")
-        .agg(F.sort_array(F.collect_list(F.struct("l_suppkey", affiliation.alias("a")))).alias("x"))
-        .select("l_orderkey", "sblock", F.transform("x", lambda x: x["a"]).alias("affiliations"))
+    affiliations = order_suppliers(spark, sf_dir).join(
+        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     amount = F.floor("o_totalprice").cast("long")
@@ -167,19 +170,26 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("motivation"),
         amount.alias("prizeAmount"),
         (amount * 2).alias("prizeAmountAdjusted"),
-        F.coalesce("affiliations", F.array()).alias("affiliations"),
+        F.col("affiliations"),
         F.col("o_orderkey").alias("o_orderkey"),
     )
+    columns = ["o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice"]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", *columns)
     prizes = (
-        table(spark, sf_dir, "orders")
-        .join(affiliations, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders.join(affiliations, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .groupBy("o_orderkey", "sblock")
+        .agg(
+            *[F.any_value(c).alias(c) for c in columns],
+            _sorted_list("l_suppkey", affiliation).alias("affiliations"),
+        )
         .groupBy("o_custkey", F.expr(f"o_orderkey div {ORDER_BLOCK}").alias("oblock"))
         .agg(
-            F.sort_array(
-                F.collect_list(F.struct("o_orderkey", "sblock", prize.alias("p")))
-            ).alias("x")
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("o_orderkey", "sblock", prize.alias("p")))),
+                lambda x: x["p"],
+            ).alias("prizes")
         )
-        .select("o_custkey", "oblock", F.transform("x", lambda x: x["p"]).alias("prizes"))
+        .select("o_custkey", "prizes")
     )
     people = table(spark, sf_dir, "customer").join(
         places, F.col("c_nationkey") == F.col("n_nationkey")
@@ -191,7 +201,14 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.concat(born, F.lit("-02-03"))
     for i, value in enumerate(dates):
         date = F.when(F.pmod("c_custkey", F.lit(7)) == i, value).otherwise(date)
-    return people.join(prizes, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+    # An inner join, which can be split at a customer of very many records; an outer join
+    # could not. Customers without an order follow separately.
+    winners = people.join(prizes, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
+    buyers = orders.select("o_custkey").distinct()
+    others = people.join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    none = F.array().cast(winners.schema["prizes"].dataType)
+    records = winners.unionByName(others.withColumn("prizes", none))
+    return records.select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("knownName"),
         F.lit(None).cast("string").alias("givenName"),
@@ -207,7 +224,7 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(known, F.col("n_name")).alias("birthPlaceCountryNow"),
         F.col("r_name").alias("birthPlaceContinent"),
         F.lit(None).cast("string").alias("deathDate"),
-        F.coalesce("prizes", F.array()).alias("prizes"),
+        "prizes",
     )
 
 
