@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import exact, mixture
+from kinweave.llm import exact, mixture, packing, simhash, urls
 from kinweave.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -36,3 +37,82 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixture.mix_sources(table(spark, sf_dir, "documents"))
     return mixture.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _op2_sql() -> str:
+    steps = ["""WITH RECURSIVE p AS (
+  SELECT page_id, html,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), j AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%'
+      THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%'
+      THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/'
+  END AS rule FROM p
+), v AS (
+  SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                 WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM j
+), a AS (
+  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']?([^"''\\s>]+)', 1)) AS link
+  FROM p
+), l AS (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT src, translate(coalesce(regexp_extract(
+             CASE WHEN link LIKE '//%' THEN ':' || link ELSE link END,
+             '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM a)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+), m AS (
+  SELECT 't' AS kind, src AS host, dst AS goal, n / sum(n) OVER (PARTITION BY src) AS share FROM l
+  UNION ALL
+  SELECT 'd', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM l
+), h AS (
+  SELECT host, avg(coalesce((ruled = 'allow')::DOUBLE, 0)) AS t,
+         avg(coalesce((ruled = 'block')::DOUBLE, 0)) AS d FROM v WHERE host <> '' GROUP BY host
+), s0 AS (
+  SELECT 't' AS kind, host, 0.15::DOUBLE * t AS score FROM h WHERE t > 0
+  UNION ALL SELECT 'd', host, 0.15::DOUBLE * d FROM h WHERE d > 0
+)"""]
+    for step in range(1, urls.STEPS + 1):
+        steps.append(f"""s{step} AS (
+  SELECT kind, host, sum(score) AS score FROM (
+    SELECT * FROM s0 UNION ALL
+    SELECT kind, goal, score * share * 0.85 FROM s{step - 1} JOIN m USING (kind, host))
+  GROUP BY kind, host
+)""")
+    steps.append(f"""bad AS (
+  SELECT host FROM s{urls.STEPS} GROUP BY host
+  HAVING round(coalesce(sum(score) FILTER (kind = 'd'), 0)
+         - coalesce(sum(score) FILTER (kind = 't'), 0), 9) > 0.075
+)""")
+    return ", ".join(steps) + """
+SELECT page_id, host, path, rule,
+       coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END)
+         AS verdict
+FROM v"""
+
+
+@query("op2_url_filters", _op2_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+@query("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
