@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinweave.llm import exact, mixture, packing, simhash, urls
+from kinweave.llm import exact, language, mixture, packing, quality, simhash, urls
 from kinweave.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -116,3 +117,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def _remainder(divisor: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.label_languages(docs, _remainder(3) != 1, keep=["doc_id"])
+    return found.select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score_quality(docs, labels, _remainder(4) != 2, keep=["doc_id"])
+    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", "predicted")
