@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A document is cut into chunks of so many bytes, each beginning so many after the last.
-CHUNK, HOP = 512, 384
-EMBED, STRIDE, FILTERS, HIDDEN = 8, 4, 32, 24
+CHUNK, HOP = 256, 192
+EMBED, STRIDE, FILTERS, HIDDEN = 8, 4, 40, 24
 # Bounds of the training sample: documents of each label, and chunks of each document,
 # spread over its whole length.
 TRAIN_PER_LABEL = 1500
-TRAIN_CHUNKS = 6
-STEPS, BATCH, RATE = 500, 48, 4e-3
+TRAIN_CHUNKS = 10
+STEPS, BATCH, RATE = 600, 48, 4e-3
+# Share of the training documents that a step cuts to one short stretch.
+CROPPED = 0.25
 SEED = 11
-CHUNKS_AT_ONCE = 512
+CHUNKS_AT_ONCE = 1024
 THRESHOLD = 0.7
 PAD = 0
 
@@ -57,12 +59,16 @@ def _convolved(net: Net, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pooled(net: Net, chunks: np.ndarray) -> np.ndarray:
-    """The greatest response of each filter in each chunk."""
+    """The greatest response of each filter in each chunk, and how full the chunk is."""
     parts = [
         _convolved(net, chunks[i : i + CHUNKS_AT_ONCE])[1].max(axis=1)
         for i in range(0, len(chunks), CHUNKS_AT_ONCE)
     ]
-    return np.maximum(np.concatenate(parts) + net.bias, 0)
+    return np.column_stack([np.maximum(np.concatenate(parts) + net.bias, 0), _filled(chunks)])
+
+
+def _filled(chunks: np.ndarray) -> np.ndarray:
+    return (chunks != PAD).mean(axis=1, dtype=np.float32)
 
 
 def _combined(peaks: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -113,7 +119,7 @@ def train(docs: list[np.ndarray], labels: np.ndarray, share: float, seed: int =
         init(STRIDE * EMBED, FILTERS),
         init(STRIDE * EMBED, FILTERS),
         np.zeros(FILTERS, np.float32),
-        init(3 * FILTERS, HIDDEN),
+        init(3 * (FILTERS + 1), HIDDEN),
         np.zeros(HIDDEN, np.float32),
         init(HIDDEN),
         np.zeros(1, np.float32),
@@ -128,8 +134,9 @@ def train(docs: list[np.ndarray], labels: np.ndarray, share: float, seed: int =
     square = {k: np.zeros_like(getattr(net, k)) for k in names}
     for step in range(1, STEPS + 1):
         pick = np.concatenate([rng.choice(rows, BATCH // 2) for rows in by_label])
-        sizes = np.array([len(docs[i]) for i in pick])
-        chunks = np.concatenate([docs[i] for i in pick])
+        batch = [_cropped(docs[i], rng) if rng.random() < CROPPED else docs[i] for i in pick]
+        sizes = np.array(list(map(len, batch)))
+        chunks = np.concatenate(batch)
         first = np.cumsum(sizes) - sizes
         grad = _gradient(net, chunks, first, sizes, labels[pick])
         for k in names:
@@ -144,6 +151,14 @@ def train(docs: list[np.ndarray], labels: np.ndarray, share: float, seed: int =
     return net
 
 
+def _cropped(chunks: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A short stretch of one chunk, as short texts are rarer than they should be."""
+    chunk = chunks[rng.integers(len(chunks))]
+    n = min(int((chunk != PAD).sum()), int(rng.integers(12, 160)))
+    at = int(rng.integers(int((chunk != PAD).sum()) - n + 1))
+    return chunked(chunk[at : at + n].tobytes())
+
+
 def _gradient(
     net: Net, chunks: np.ndarray, first: np.ndarray, sizes: np.ndarray, labels: np.ndarray
 ) -> dict[str, np.ndarray]:
@@ -152,7 +167,7 @@ def _gradient(
     place = response.argmax(axis=1)
     n = len(chunks)
     peak = np.take_along_axis(response, place[:, None, :], axis=1)[:, 0] + net.bias
-    peaks = np.maximum(peak, 0)
+    peaks = np.column_stack([np.maximum(peak, 0), _filled(chunks)])
     combined = _combined(peaks, first, sizes)
     hidden, logit = _logits(net, combined)
     slope = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - labels) / len(labels)
@@ -160,10 +175,13 @@ def _gradient(
     back = np.outer(slope, net.out) * (hidden > 0)
     grad |= {"dense": combined.T @ back, "dense_bias": back.sum(axis=0)}
     back = back @ net.dense.T
-    mean, most, least = np.split(back, 3, axis=1)
+    # The last column of each third is the filling, which has no weights of its own.
+    mean, most, least = (part[:, :FILTERS] for part in np.split(back, 3, axis=1))
+    _, top, bottom = (part[:, :FILTERS] for part in np.split(combined, 3, axis=1))
+    peaks = peaks[:, :FILTERS]
     doc = np.repeat(np.arange(len(sizes)), sizes)
     d_peak = (mean / sizes[:, None])[doc]
-    for part, extreme in ((most, combined[:, FILTERS : 2 * FILTERS]), (least, combined[:, 2 * FILTERS :])):
+    for part, extreme in ((most, top), (least, bottom)):
         hit = peaks == extreme[doc]
         d_peak += part[doc] * hit / np.add.reduceat(hit, first, axis=0)[doc]
     d_peak *= peak > 0
@@ -189,7 +207,7 @@ def sample(
     """The bounded training sample, and the share of label 1 among all labelled rows.
 
     At most 1,500 documents of each label in the order of a hash of the id; of each at most
-    six chunks, evenly spread from its first byte to its last.
+    ten chunks, evenly spread from its first byte to its last.
     """
     known = labels.filter(learn & F.col(label_col).isin(0, 1)).select(
         id_col, F.col(label_col).cast("int").alias("_label")
