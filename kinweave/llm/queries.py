@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import exact, language, mixture, packing, quality, simhash, urls
+from kinweave.llm import exact, language, mixture, packing, quality, simhash, topk, urls
 from kinweave.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -137,3 +137,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.score_quality(docs, labels, _remainder(4) != 2, keep=["doc_id"])
     return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", "predicted")
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+         list_inner_product(q.v::DOUBLE[], d.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+)
+SELECT query_id,
+       (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id, score
+FROM p
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query("op3_exact_topk", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
