@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import exact, language, mixture, packing, quality, simhash, topk, urls
+from kinweave.llm import exact, language, mixture, packing, passages, quality, simhash, topk, urls
 from kinweave.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -161,3 +161,8 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 @query("op3_exact_topk", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_passages(table(spark, sf_dir, "documents"))
