@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import exact, language, mixture, packing, passages, quality, simhash, topk, urls
+from kinweave.llm import (
+    exact,
+    language,
+    mixture,
+    packing,
+    passages,
+    quality,
+    simhash,
+    strings,
+    topk,
+    urls,
+)
 from kinweave.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -166,3 +177,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strings.remove_strings(table(spark, sf_dir, "documents"))
