@@ -27,7 +27,7 @@ SEED = 20_240_611
 
 @dataclass
 class Mix:
-    """``rows``: the input with ``_row``, ``_sid``, ``_size``, ``_start`` (place in its
+    """``rows``: the input's ``_id`` (and ``_doc``) with ``_row``, ``_sid``, ``_size``, ``_start`` (place in its
     source's stream of words); ``sources``: one row per source; ``slots``: the mix, one row
     per slot with its shard, source and block."""
 
@@ -241,7 +241,7 @@ def mix_sources(
     most: int = MOST_REPEATS,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
-    keep: list[str] | None = None,
+    whole: bool = False,
 ) -> Mix:
     """Mix the words of all documents so that every source nears its target.
 
@@ -250,20 +250,23 @@ def mix_sources(
     order, cut into blocks; ``slots`` names a block for each place of the mix. A block is
     taken at most ``most`` times, and so is each word of a document. NULL and empty texts
     have no words and are never taken; repeated rows are rows of their own; an empty input
-    gives an empty mix. The input is read once: its rows are written with a row number, with
-    the columns of ``keep`` (id and source if not given).
+    gives an empty mix. The input is read once: its rows are written with a row number, as
+    ``_id`` and, if ``whole``, as ``_doc`` with all columns.
     """
-    keep = [id_col, source_col] if keep is None else keep
+    document = [F.struct(*docs.columns).alias("_doc")] if whole else []
     numbered = materialise(
-        docs.select(*keep, word_count(F.col(text_col)).alias("_size")).withColumn(
-            "_row", F.monotonically_increasing_id()
-        ),
+        docs.select(
+            F.col(id_col).alias("_id"),
+            F.col(source_col).alias("_of"),
+            word_count(F.col(text_col)).alias("_size"),
+            *document,
+        ).withColumn("_row", F.monotonically_increasing_id()),
         "mix-rows",
     )
-    sources = source_table(numbered, source_col, weights, most, block_words)
-    order = F.when(F.col(id_col).isNull(), F.xxhash64("_row")).otherwise(F.xxhash64(id_col))
-    by_source = sources.select(F.col(source_col).alias("_name"), "_sid")
-    narrow = numbered.select(F.col(source_col).alias("_of"), "_row", "_size", order.alias("_order"))
+    sources = source_table(numbered, "_of", weights, most, block_words)
+    order = F.when(F.col("_id").isNull(), F.xxhash64("_row")).otherwise(F.xxhash64("_id"))
+    by_source = sources.select(F.col("_of").alias("_name"), "_sid")
+    narrow = numbered.select("_of", "_row", "_size", order.alias("_order"))
     placed = _places(
         narrow.join(by_source, F.col("_of").eqNullSafe(F.col("_name"))).drop("_of", "_name")
     )
@@ -294,8 +297,8 @@ def taken_pieces(mix: Mix) -> DataFrame:
     return pieces.join(times, ["_sid", "_block"]).select("_row", "_at", "_words", "_times")
 
 
-def taken_words(mix: Mix) -> DataFrame:
-    """The rows with ``size``, ``source_size``, ``target`` and ``taken``."""
+def taken_words(mix: Mix, id_col: str = "doc_id") -> DataFrame:
+    """(id, size, source_size, target, taken) of every row."""
     taken = taken_pieces(mix).groupBy("_row").agg(
         F.sum(F.col("_words") * F.col("_times")).alias("taken")
     )
@@ -305,8 +308,13 @@ def taken_words(mix: Mix) -> DataFrame:
     return (
         mix.rows.join(facts, "_sid")
         .join(taken, "_row", "left")
-        .withColumns({"size": F.col("_size"), "taken": F.coalesce("taken", F.lit(0))})
-        .drop("_row", "_sid", "_size", "_start")
+        .select(
+            F.col("_id").alias(id_col),
+            F.col("_size").alias("size"),
+            "source_size",
+            "target",
+            F.coalesce("taken", F.lit(0)).alias("taken"),
+        )
     )
 
 
@@ -319,8 +327,8 @@ def mixed_documents(
     words taken at least so often, joined by a blank. A copy that takes them all has the text
     unchanged. Documents without words are not taken.
     """
-    names = docs.columns
-    mix = mix_sources(docs, id_col, text_col, source_col, keep=names)
+    mix = mix_sources(docs, id_col, text_col, source_col, whole=True)
+    original = F.col("_doc").getField(text_col)
     copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
     spans = (
         taken_pieces(mix)
@@ -331,7 +339,7 @@ def mixed_documents(
             F.sum("_span._words").alias("_got"),
         )
     )
-    trimmed = F.regexp_replace(F.col(text_col), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    trimmed = F.regexp_replace(original, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
     cut = F.array_join(
         F.flatten(
             F.transform(
@@ -346,5 +354,10 @@ def mixed_documents(
     joined = mix.rows.join(spans, "_row").withColumn(
         "_all", F.when(F.col("_got") < F.col("_size"), F.split(trimmed, f"{SPACE_CLASS}+"))
     )
-    text = F.when(F.col("_got") < F.col("_size"), cut).otherwise(F.col(text_col))
-    return joined.withColumn(text_col, text).select(*names)
+    text = F.when(F.col("_got") < F.col("_size"), cut).otherwise(original)
+    return joined.select(
+        *(
+            (text if name == text_col else F.col("_doc").getField(name)).alias(name)
+            for name in docs.columns
+        )
+    )

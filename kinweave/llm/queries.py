@@ -48,7 +48,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_mix_sources")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixture.mix_sources(table(spark, sf_dir, "documents"))
-    return mixture.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
+    return mixture.taken_words(mix)
 
 
 def _op2_sql() -> str:

@@ -139,11 +139,13 @@ def judge_urls(
     """
     out = ["host", "path", "rule", "verdict"]
     pages = pages.drop(*out)
-    judged = (
-        pages.withColumn("_host", url_host(F.col(url_col)))
-        .withColumn("_path", url_path(F.col(url_col)))
-        .withColumn("_rule", _longest_rule(rules, "_host", "_path"))
-    )
+    # The input's columns travel in one, so that none can be taken for a column made here.
+    judged = pages.select(
+        F.struct(*pages.columns).alias("_page"),
+        F.col(html_col).alias("_html"),
+        url_host(F.col(url_col)).alias("_host"),
+        url_path(F.col(url_col)).alias("_path"),
+    ).withColumn("_rule", _longest_rule(rules, "_host", "_path"))
     share = {
         kind: F.avg(F.coalesce(F.col("_rule.verdict") == verdict, F.lit(False)).cast("double"))
         for kind, verdict in (("trust", "allow"), ("distrust", "block"))
@@ -153,13 +155,13 @@ def judge_urls(
         .groupBy(F.col("_host").alias("host"))
         .agg(*(c.alias(kind) for kind, c in share.items()))
     )
-    scores = spread(seeds, materialise(host_links(judged, html_col), "url-links"), damping, steps)
+    scores = spread(seeds, materialise(host_links(judged, "_html"), "url-links"), damping, steps)
     bad = (
         scores.filter(F.round(F.col("distrust") - F.col("trust"), 9) > threshold)
         .select(F.col("host").alias("_bad"))
     )
     return judged.join(bad, F.col("_host") == F.col("_bad"), "left").select(
-        *pages.columns,
+        *(F.col("_page").getField(name).alias(name) for name in pages.columns),
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
         F.col("_rule.rule").alias("rule"),
