@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,12 +20,23 @@ from kinweave.session import materialise
 CAPACITY = 2048
 END_ID = 0
 # Distinct words and word parts a task remembers the ids of.
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 600_000
 # Pieces that one task numbers at a time.
 NUMBERED_ROWS = 20_000
-PRINTABLE = re.compile(rb"[!-~]+")
-# The tokenizer's own split, for lower-case printable ASCII.
-PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Printable ASCII and the Latin letters next to it, which lower-case one to one.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# The tokenizer's own split, for such text in lower case.
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+
+
+def _shown() -> dict[int, int]:
+    """How byte-level merges write a byte: printable ones as they are, others from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+SHOWN = _shown()
 
 
 class _Memory(dict):
@@ -45,23 +57,28 @@ def word_encoder(tokenizer_json: str):
     """From a text's UTF-8 bytes to its ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer parts texts at white space, so a text's ids are those of its words, and
-    words repeat. Printable ASCII words are split here and go to the merges at once; all
+    words repeat. Words of plain letters are split here and go to the merges at once; all
     others, and those that may hold a special token, go through the whole tokenizer.
     """
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_str(tokenizer_json)
-    model = whole.model
+    merges = whole.model.tokenize
 
     def packed(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def of_part(part: str) -> bytes:
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(SHOWN)
+        return packed([token.id for token in merges(shown)])
 
-    parts = _Memory(lambda p: packed([t.id for t in model.tokenize(p.decode())]), MEMORY_WORDS)
+    parts = _Memory(of_part, MEMORY_WORDS)
 
     def of_word(word: bytes) -> bytes:
-        if PRINTABLE.fullmatch(word) and b"<|" not in word:
-            return b"".join(map(parts.__getitem__, PARTS.findall(word.lower())))
-        return packed(whole.encode(word.decode(), add_special_tokens=False).ids)
+        text = word.decode()
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(parts.__getitem__, PARTS.findall(text.lower())))
+        return packed(whole.encode(text, add_special_tokens=False).ids)
 
     words = _Memory(of_word, MEMORY_WORDS)
     return lambda text: b"".join(map(words.__getitem__, text.split()))
