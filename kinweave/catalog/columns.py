@@ -123,7 +123,7 @@ def b1(spark, d):
 )
 def b2(spark, d):
     return (
-        reshape.persons_frame(shapes.reference(spark, d))
+        reshape.persons_frame(shapes.people(spark, d))
         .filter(F.col("birthPlaceCity").isNotNull() & F.col("birthPlaceCountryNow").isNotNull())
         .select(
             "id",
@@ -151,7 +151,7 @@ RELEVANT = "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE category END IS DISTINC
 @query(
     "b4_exclude_categories_exists",
     build(f"""SELECT CAST(custkey AS VARCHAR) AS id, count(*) AS n_prizes FROM prize
-              GROUP BY custkey, oblock HAVING bool_or({RELEVANT})"""),
+              GROUP BY custkey HAVING bool_or({RELEVANT})"""),
 )
 def b4_exists(spark, d):
     kept = reshape.select_relevant(
@@ -163,8 +163,8 @@ def b4_exists(spark, d):
 @query(
     "b4_exclude_categories_per_prize",
     build(f"""SELECT CAST(p.custkey AS VARCHAR) AS id, n_prizes FROM prize p
-              JOIN (SELECT custkey, oblock, count(*) AS n_prizes FROM prize GROUP BY ALL) r
-              ON r.custkey = p.custkey AND r.oblock = p.oblock WHERE {RELEVANT}"""),
+              JOIN (SELECT custkey, count(*) AS n_prizes FROM prize GROUP BY ALL) r
+              ON r.custkey = p.custkey WHERE {RELEVANT}"""),
 )
 def b4_per_prize(spark, d):
     kept = reshape.select_relevant(
@@ -204,7 +204,7 @@ def b5(spark, d):
                     CASE WHEN p.o_orderkey % 13 <> 0 THEN p.category END AS category,
                     p.amount, a.name_now, a.raw_city AS city
              FROM prize p LEFT JOIN affiliation a
-             ON a.o_orderkey = p.o_orderkey AND a.sblock = p.sblock"""),
+             ON a.o_orderkey = p.o_orderkey"""),
 )
 def b6(spark, d):
     slim = shapes.raw(spark, d).select("id", reshape.slim_prizes(F.col("nobelPrizes")).alias("prizes"))
@@ -661,7 +661,7 @@ def f3(spark, d):
 
 @query(
     "f4_prizes_frame",
-    build("""SELECT short AS category, person AS laureate_id, prize_id, '1' AS portion,
+    build("""SELECT short AS category, person AS laureate_id, prize_id, portion,
                     CAST(award_year AS BIGINT) AS award_year, awarded AS date_awarded, motivation,
                     amount, 2 * amount AS adjusted FROM prizes"""),
 )
@@ -694,7 +694,7 @@ def f5(spark, d):
     build("SELECT id, name, gender, birth_date, city, state, country FROM persons"),
 )
 def f6(spark, d):
-    return reshape.persons_frame(shapes.reference(spark, d)).select(
+    return reshape.persons_frame(shapes.people(spark, d)).select(
         "id",
         F.col("fullName").alias("name"),
         "gender",
@@ -719,7 +719,7 @@ def f7(spark, d):
     "f8_reference_keys",
     build("""SELECT CAST(c_custkey AS VARCHAR) AS id,
                     lower(c_name) || ' ' || lower(category) || ' ' || award_year AS pk
-             FROM record r LEFT JOIN prize p ON p.custkey = c_custkey AND p.oblock = r.oblock"""),
+             FROM record r LEFT JOIN prize p ON p.custkey = c_custkey"""),
 )
 def f8(spark, d):
     return reshape.reference_keys(shapes.reference(spark, d)).select("id", "pk")
@@ -729,10 +729,10 @@ def f8(spark, d):
     "f9_reshape_raw",
     build(f"""SELECT CAST(p.custkey AS VARCHAR) AS id, c_name AS full_name, n_prizes, n_affiliations
               FROM prize p JOIN customer ON c_custkey = p.custkey
-              JOIN (SELECT custkey, oblock, count(*) AS n_prizes FROM prize GROUP BY ALL) r
-              ON r.custkey = p.custkey AND r.oblock = p.oblock
-              LEFT JOIN (SELECT custkey, oblock, count(*) AS n_aff FROM affiliation GROUP BY ALL) a
-              ON a.custkey = p.custkey AND a.oblock = p.oblock,
+              JOIN (SELECT custkey, count(*) AS n_prizes FROM prize GROUP BY ALL) r
+              ON r.custkey = p.custkey
+              LEFT JOIN (SELECT custkey, count(*) AS n_aff FROM affiliation GROUP BY ALL) a
+              ON a.custkey = p.custkey,
               LATERAL (SELECT coalesce(n_aff, 0) AS n_affiliations) WHERE {RELEVANT}"""),
 )
 def f9(spark, d):

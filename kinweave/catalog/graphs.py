@@ -38,7 +38,7 @@ class Parts:
 
     @cached_property
     def persons(self):
-        return materialise(persons_frame(shapes.reference(self.spark, self.d)), "persons")
+        return materialise(persons_frame(shapes.people(self.spark, self.d)), "persons")
 
     @cached_property
     def affiliations(self):
@@ -156,7 +156,7 @@ def g2(spark, d):
              WHERE scholar_type = 'laureate'"""),
 )
 def g3(spark, d):
-    persons = persons_frame(shapes.reference(spark, d))
+    persons = persons_frame(shapes.people(spark, d))
     return G.person_nodes(None, persons).table.select(
         "id",
         "scholar_type",
@@ -191,12 +191,12 @@ def g5(spark, d):
 
 @query("g6_city_nodes", build("SELECT name, state FROM g_birth_city"))
 def g6(spark, d):
-    return G.birth_city_nodes(None, persons_frame(shapes.reference(spark, d))).table
+    return G.birth_city_nodes(None, persons_frame(shapes.people(spark, d))).table
 
 
 @query("g7_country_nodes", build("SELECT name FROM g_country"))
 def g7(spark, d):
-    return G.birth_country_nodes(None, persons_frame(shapes.reference(spark, d))).table
+    return G.birth_country_nodes(None, persons_frame(shapes.people(spark, d))).table
 
 
 @query("g8_institution_nodes", build("SELECT DISTINCT name_now AS name FROM affiliations"))
@@ -245,7 +245,8 @@ def g13(spark, d):
 
 @query(
     "g14_won",
-    build("SELECT DISTINCT person AS src, prize_id AS dst, '1' AS portion FROM prizes"),
+    build("""SELECT person AS src, prize_id AS dst, max(portion) AS portion
+             FROM prizes GROUP BY ALL"""),
 )
 def g14(spark, d):
     parts = Parts(spark, d)

@@ -1,10 +1,8 @@
 """Inputs of the registered queries, shaped from the flat tables.
 
-The nested rows stand for documents that arrive nested. They are built so that no row
-can grow with the data: an entry or prize holds suppliers of one block of
-``SUPPLIER_BLOCK`` keys only, a record holds orders of one block of ``ORDER_BLOCK`` keys,
-and repeats are removed before anything is gathered. A larger order or customer becomes
-several entries or records, as repeated records also occur in the data they stand for.
+The nested rows stand for documents that arrive nested: an entry per order, a record per
+customer. A nested document is one row by its nature, so its parts are gathered by the
+document's own key, whatever their number (see FIXTURES.md).
 """
 
 from __future__ import annotations
@@ -16,11 +14,7 @@ from pyspark.sql.types import StructType
 from kinweave.operators.nested import enrich_tree, laureate_lookup, scholar_lookup
 from kinweave.operators.reshape import entity_ids
 from kinweave.schemas import AFFILIATION_FIELDS, PLACE_FIELDS
-from kinweave.session import broadcast_if_small, materialise
-
-SUPPLIER_BLOCK = 1_000
-ORDER_BLOCK = 2_000
-
+from kinweave.session import materialise
 
 _SCHEMAS: dict[str, StructType] = {}
 
@@ -33,16 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def order_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (order, supplier) with the supplier's block."""
-    pairs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
-    return pairs.withColumn("sblock", F.expr(f"l_suppkey div {SUPPLIER_BLOCK}"))
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order, supplier, line) of every order line; ``line`` is its place in the order."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", F.struct("l_linenumber", "l_suppkey", "l_partkey").alias("line")
+    )
 
 
-def _sorted_list(key: str, item: Column) -> Column:
-    """The items of a group in key order; rows without a key give no item."""
-    keyed = F.when(F.col(key).isNotNull(), F.struct(key, item.alias("item")))
-    return F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["item"])
+def _in_line_order(item: Column) -> Column:
+    """The items of a group by line; rows without a line give no item."""
+    placed = F.when(F.col("line").isNotNull(), F.struct("line", item.alias("item")))
+    return F.transform(F.sort_array(F.collect_list(placed)), lambda x: x["item"])
 
 
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +50,8 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         nothing.cast("string").alias("category"),
         nothing.cast("int").alias("year"),
     )
-    parents = order_suppliers(spark, sf_dir).join(
-        broadcast_if_small(suppliers), F.col("l_suppkey") == F.col("s_suppkey")
+    parents = order_lines(spark, sf_dir).join(
+        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     child = F.struct(
@@ -69,15 +64,15 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The join shuffles by order, which the grouping then needs no second shuffle for.
     entries = (
         orders.join(parents, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .groupBy("o_orderkey", "sblock")
+        .groupBy("o_orderkey")
         .agg(
             F.any_value("o_custkey").alias("o_custkey"),
             F.any_value("o_orderdate").alias("o_orderdate"),
-            _sorted_list("l_suppkey", parent).alias("parents"),
+            _in_line_order(parent).alias("parents"),
         )
     )
     return entries.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.concat_ws(":", "o_orderkey", F.coalesce("sblock", F.lit(0))).alias("entry_id"),
+        F.col("o_orderkey").cast("string").alias("entry_id"),
         F.array(child).alias("children"),
         "parents",
     )
@@ -126,20 +121,11 @@ CATEGORIES = ["Physics", "Chemistry", "Physiology or Medicine", "Economic Scienc
 
 def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference records: a customer with its orders as prizes."""
-    places = (
-        table(spark, sf_dir, "nation")
-        .join(
-            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        .select("n_nationkey", "n_name", "r_name")
-    )
-    places = broadcast_if_small(places)
     suppliers = (
         table(spark, sf_dir, "supplier")
-        .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", "s_name", "s_nationkey", "n_name", "r_name")
     )
-    suppliers = broadcast_if_small(suppliers)
     city = F.concat(F.lit("City "), F.col("s_nationkey").cast("string"))
     spelling = F.pmod("s_suppkey", F.lit(3))
     city = (
@@ -157,7 +143,7 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         "continent": F.col("r_name"),
     }
     affiliation = F.struct(*[texts[f].alias(f) for f in AFFILIATION_FIELDS])
-    affiliations = order_suppliers(spark, sf_dir).join(
+    affiliations = order_lines(spark, sf_dir).join(
         suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -165,7 +151,8 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     prize = F.struct(
         F.year("o_orderdate").cast("string").alias("awardYear"),
         _pick(F.col("o_orderkey"), CATEGORIES).alias("category"),
-        F.lit("1").alias("portion"),
+        # Several portions of one prize and person, so that it matters which of them wins.
+        F.concat(F.lit("1/"), (F.pmod("o_orderkey", F.lit(4)) + 1).cast("string")).alias("portion"),
         day.alias("dateAwarded"),
         F.col("o_orderpriority").alias("motivation"),
         amount.alias("prizeAmount"),
@@ -177,22 +164,38 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", *columns)
     prizes = (
         orders.join(affiliations, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .groupBy("o_orderkey", "sblock")
+        .groupBy("o_orderkey")
         .agg(
             *[F.any_value(c).alias(c) for c in columns],
-            _sorted_list("l_suppkey", affiliation).alias("affiliations"),
+            _in_line_order(affiliation).alias("affiliations"),
         )
-        .groupBy("o_custkey", F.expr(f"o_orderkey div {ORDER_BLOCK}").alias("oblock"))
+        .groupBy("o_custkey")
         .agg(
             F.transform(
-                F.sort_array(F.collect_list(F.struct("o_orderkey", "sblock", prize.alias("p")))),
+                F.sort_array(F.collect_list(F.struct("o_orderkey", prize.alias("p")))),
                 lambda x: x["p"],
             ).alias("prizes")
         )
-        .select("o_custkey", "prizes")
     )
-    people = table(spark, sf_dir, "customer").join(
-        places, F.col("c_nationkey") == F.col("n_nationkey")
+    records = people(spark, sf_dir)
+    joined = records.join(prizes, F.col("id") == F.col("o_custkey").cast("string"), "left")
+    none = F.array().cast(joined.schema["prizes"].dataType)
+    return joined.select(*records.columns, F.coalesce("prizes", none).alias("prizes"))
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = table(spark, sf_dir, "region")
+    return (
+        table(spark, sf_dir, "nation")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("n_nationkey", "n_name", "r_name")
+    )
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference records without their prizes: what a customer alone gives."""
+    records = table(spark, sf_dir, "customer").join(
+        _places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
     home = F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))
     known = F.pmod("c_nationkey", F.lit(5)) != 0
@@ -201,13 +204,6 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.concat(born, F.lit("-02-03"))
     for i, value in enumerate(dates):
         date = F.when(F.pmod("c_custkey", F.lit(7)) == i, value).otherwise(date)
-    # An inner join, which can be split at a customer of very many records; an outer join
-    # could not. Customers without an order follow separately.
-    winners = people.join(prizes, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
-    buyers = orders.select("o_custkey").distinct()
-    others = people.join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
-    none = F.array().cast(winners.schema["prizes"].dataType)
-    records = winners.unionByName(others.withColumn("prizes", none))
     return records.select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("knownName"),
@@ -224,7 +220,6 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(known, F.col("n_name")).alias("birthPlaceCountryNow"),
         F.col("r_name").alias("birthPlaceContinent"),
         F.lit(None).cast("string").alias("deathDate"),
-        "prizes",
     )
 
 

@@ -7,26 +7,24 @@ from __future__ import annotations
 
 import re
 
-from kinweave.catalog.shapes import ORDER_BLOCK, SUPPLIER_BLOCK
-
 VIEWS: dict[str, str] = {
     # --- tree ---
-    "tree_lines": f"""
-        SELECT DISTINCT l_orderkey, l_suppkey, s_name, l_suppkey // {SUPPLIER_BLOCK} AS sblock
+    "tree_lines": """
+        SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, s_name
         FROM lineitem JOIN supplier ON s_suppkey = l_suppkey""",
     "entry": """
-        SELECT o_orderkey || ':' || coalesce(sblock, 0) AS entry_id, o_orderkey, sblock,
+        SELECT CAST(o_orderkey AS VARCHAR) AS entry_id, o_orderkey,
                c_name, c_mktsegment, CAST(year(o_orderdate) AS INTEGER) AS yr
-        FROM orders JOIN customer ON o_custkey = c_custkey
-        LEFT JOIN (SELECT DISTINCT l_orderkey, sblock FROM tree_lines) b ON l_orderkey = o_orderkey""",
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "children": """
         SELECT entry_id, 0 AS pos, c_name AS name, 'laureate' AS type,
                c_mktsegment AS category, yr AS year FROM entry""",
     "parents": """
-        SELECT entry_id, row_number() OVER (PARTITION BY entry_id ORDER BY l_suppkey) - 1 AS pos,
+        SELECT entry_id, row_number() OVER (PARTITION BY entry_id
+                   ORDER BY l_linenumber, l_suppkey, l_partkey) - 1 AS pos,
                s_name AS name, 'scholar' AS type,
                CAST(NULL AS VARCHAR) AS category, CAST(NULL AS INTEGER) AS year
-        FROM entry e JOIN tree_lines t ON t.l_orderkey = e.o_orderkey AND t.sblock = e.sblock""",
+        FROM entry e JOIN tree_lines t ON t.l_orderkey = e.o_orderkey""",
     "entities_all": """
         SELECT name, type, category, year FROM children UNION ALL
         SELECT p.name, p.type, p.category, p.year FROM entry e LEFT JOIN parents p USING (entry_id)""",
@@ -54,31 +52,28 @@ VIEWS: dict[str, str] = {
     "place": """
         SELECT n_nationkey, n_name, r_name
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
-    "record": f"""
-        SELECT c.*, n_name, r_name, oblock
-        FROM customer c JOIN place ON c_nationkey = n_nationkey
-        LEFT JOIN (SELECT DISTINCT o_custkey, o_orderkey // {ORDER_BLOCK} AS oblock FROM orders) b
-        ON o_custkey = c_custkey""",
-    "prize": f"""
-        SELECT o_custkey AS custkey, o_orderkey // {ORDER_BLOCK} AS oblock, o_orderkey, sblock,
+    "record": """
+        SELECT c.*, n_name, r_name FROM customer c JOIN place ON c_nationkey = n_nationkey""",
+    "prize": """
+        SELECT o_custkey AS custkey, o_orderkey,
                CAST(year(o_orderdate) AS VARCHAR) AS award_year,
                CASE o_orderkey % 5 WHEN 0 THEN 'Physics' WHEN 1 THEN 'Chemistry'
                     WHEN 2 THEN 'Physiology or Medicine' WHEN 3 THEN 'Economic Sciences'
                     ELSE 'Peace' END AS category,
                CASE o_orderkey % 5 WHEN 0 THEN 'physics' WHEN 1 THEN 'chemistry'
                     WHEN 2 THEN 'medicine' WHEN 3 THEN 'economics' ELSE 'peace' END AS short,
+               '1/' || (1 + o_orderkey % 4) AS portion,
                strftime(o_orderdate, '%Y-%m-%d') AS awarded, o_orderpriority AS motivation,
                CAST(floor(o_totalprice) AS BIGINT) AS amount
         FROM orders JOIN customer ON c_custkey = o_custkey
-        JOIN place ON c_nationkey = n_nationkey
-        LEFT JOIN (SELECT DISTINCT l_orderkey, sblock FROM tree_lines) b ON l_orderkey = o_orderkey""",
+        JOIN place ON c_nationkey = n_nationkey""",
     "affiliation": """
-        SELECT custkey, p.oblock, p.o_orderkey, p.sblock, award_year, s.s_name AS name_now,
+        SELECT custkey, p.o_orderkey, award_year, s.s_name AS name_now,
                'City ' || s_nationkey AS city, CASE s_suppkey % 3 WHEN 1 THEN r_name END AS state,
                'City ' || s_nationkey || CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN ', ' || r_name
                     ELSE ', ' || r_name || ', X' END AS raw_city,
                n_name AS country, r_name AS continent
-        FROM prize p JOIN tree_lines t ON t.l_orderkey = p.o_orderkey AND t.sblock = p.sblock
+        FROM prize p JOIN tree_lines t ON t.l_orderkey = p.o_orderkey
         JOIN supplier s ON s_suppkey = l_suppkey JOIN place ON s_nationkey = n_nationkey""",
     "persons": """
         SELECT 'l' || c_custkey AS id, c_custkey, c_name AS name,
