@@ -48,11 +48,10 @@ def validate(
     return Validated(passed.drop("errors"), rejected)
 
 
-def vector_ok(vector: Column, dim: int) -> Column:
-    """True for a vector of the declared length without NULL or NaN elements."""
-    return F.coalesce(
-        vector.isNotNull()
-        & (F.size(vector) == dim)
-        & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)),
-        F.lit(False),
+def vector_ok(vector: Column, dim: int | None = None) -> Column:
+    """True for a vector of finite elements, and of the declared length if there is one."""
+    bad = F.exists(
+        vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     )
+    fits = F.lit(True) if dim is None else F.size(vector) == dim
+    return F.coalesce(vector.isNotNull() & fits & ~bad, F.lit(False))

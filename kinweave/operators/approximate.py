@@ -9,14 +9,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinweave.functions.checks import vector_ok
 from kinweave.functions.vectors import matrix, nearest, unit
 from kinweave.operators.numbering import partition_offsets
 from kinweave.session import materialise
 
+# What is stored with an index.
+SETTINGS = "tables int, bits int, seed long"
+
 
 @dataclass(frozen=True)
 class VectorIndex:
@@ -36,7 +40,7 @@ def _planes(dim: int, table: int, bits: int, seed: int) -> np.ndarray:
 def _signed(
     df: DataFrame, id_col: str, vector: str, tables: int, bits: int, seed: int
 ) -> DataFrame:
-    rows = df.filter(F.col(vector).isNotNull()).select(
+    rows = df.filter(vector_ok(F.col(vector))).select(
         F.col(id_col).alias("id"), F.col(vector).alias("vector")
     )
     schema = T.StructType(
@@ -82,9 +86,17 @@ def build_vector_index(
     rows = _signed(df, id_col, vector, tables, bits, seed)
     if path is None:
         return VectorIndex(materialise(rows, "index"), tables, bits, seed)
-    rows.write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.schema(rows.schema).parquet(path)
-    return VectorIndex(stored, tables, bits, seed)
+    spark = df.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/rows")
+    settings = spark.createDataFrame([(tables, bits, seed)], SETTINGS)
+    settings.coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+    return open_vector_index(spark, path)
+
+
+def open_vector_index(spark: SparkSession, path: str) -> VectorIndex:
+    """An index that :func:`build_vector_index` stored, with the settings it was built with."""
+    tables, bits, seed = spark.read.schema(SETTINGS).parquet(f"{path}/settings").first()
+    return VectorIndex(spark.read.parquet(f"{path}/rows"), tables, bits, seed)
 
 
 def approximate_topk(

@@ -19,12 +19,13 @@ def keep_one(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFr
 def last_wins(df: DataFrame, key: list[str], values: list[str], order: Column | str) -> DataFrame:
     """For each key the values of its greatest row in ``order``.
 
-    The values travel in a struct, so a NULL in the winning row stays NULL. The
+    The values travel in a struct, so a NULL in the winning row stays NULL; so does the
+    order, as a row with a NULL order comes before all others and is not left out. The
     aggregate is combined map-side.
     """
     if not values:
         return df.select(*key).distinct()
-    best = F.max_by(F.struct(*values), F.col(order) if isinstance(order, str) else order)
+    best = F.max_by(F.struct(*values), F.struct(order))
     return df.groupBy(*key).agg(best.alias("_best")).select(*key, "_best.*")
 
 

@@ -33,10 +33,11 @@ def scholar_lookup(ids: DataFrame, order_col: str = "id") -> DataFrame:
 def enrich_tree(tree: DataFrame, lookup: DataFrame, entry_id: str | None = None) -> DataFrame:
     """Set ``id`` of each element from ``lookup`` (unique on type and name).
 
-    Elements without an entry in the lookup get a NULL id. List order and length, and
-    the difference between NULL and empty lists, are kept. Elements are looked up one
-    by one and regrouped by ``entry_id``; what is regrouped is what the entry held
-    before. Without an ``entry_id`` column the entries are numbered and written once,
+    Elements without an entry in the lookup keep the id they have, or get a NULL id. List
+    order and length, the difference between NULL and empty lists, and all other columns
+    are kept. Elements are looked up one by one and regrouped by ``entry_id``; what is
+    regrouped is what the entry held before. An ``entry_id`` that occurs twice fails the
+    query, as its entries could not be told apart. Without an ``entry_id`` column the entries are numbered and written once,
     so that the number cannot change when a lost task runs again. The lookup is written
     too: as a stored table its size is known before the join (broadcast or not), and a
     join of two plain shuffles can be split where one name holds very many elements.
@@ -50,28 +51,45 @@ def enrich_tree(tree: DataFrame, lookup: DataFrame, entry_id: str | None = None)
         items = F.transform(
             F.col(group),
             lambda x, i: F.struct(
-                F.lit(group).alias("group"), i.alias("pos"), x.dropFields("id").alias("item")
+                F.lit(group).alias("group"), i.alias("pos"), x.alias("item")
             ),
         )
         return F.coalesce(items, F.array())
 
     missing = [F.col(g).isNull().alias(f"_no_{g}") for g in GROUPS]
+    others = [c for c in tree.columns if c not in (key, *GROUPS)]
+    kept = F.struct(*others, F.lit(None).cast("string").alias("_none")).alias("_kept")
     elements = tree.select(
-        key, *missing, F.explode_outer(F.concat(*[placed(g) for g in GROUPS])).alias("e")
-    ).select(key, *[f"_no_{g}" for g in GROUPS], "e.*")
+        key,
+        kept,
+        *missing,
+        F.posexplode_outer(F.concat(*[placed(g) for g in GROUPS])).alias("_nth", "e"),
+    ).select(key, "_kept", "_nth", *[f"_no_{g}" for g in GROUPS], "e.*")
+    has_id = "id" in tree.select(F.explode(GROUPS[0]).alias("x")).select("x.*").columns
+    own = F.col("item.id").cast("string") if has_id else F.lit(None).cast("string")
     found = elements.join(
         lookup.select(
             F.col("type").alias("_type"), F.col("name").alias("_name"), F.col("id").alias("_id")
         ),
         (F.col("item.type") == F.col("_type")) & (F.col("item.name") == F.col("_name")),
         "left",
-    ).withColumn("item", F.when(F.col("item").isNotNull(), F.col("item").withField("id", F.col("_id"))))
+    ).withColumn("item", F.when(F.col("item").isNotNull(), F.col("item").withField("id", F.coalesce("_id", own))))
 
     def regroup(group: str) -> Column:
         mine = F.when(F.col("group") == group, F.struct("pos", "item"))
         items = F.transform(F.sort_array(F.collect_list(mine)), lambda x: x["item"])
         return F.when(~F.max(f"_no_{group}"), items).alias(group)
 
-    return found.groupBy(key).agg(*[regroup(g) for g in GROUPS]).select(
-        *([key] if entry_id else []), *GROUPS
+    # Each entry has one first element, or one row without any.
+    entries = F.count_if(F.coalesce(F.col("_nth"), F.lit(0)) == 0).alias("_entries")
+    grouped = found.groupBy(key).agg(
+        F.any_value("_kept").alias("_kept"), entries, *[regroup(g) for g in GROUPS]
+    )
+    stop = F.raise_error(F.concat(F.lit("repeated entry id: "), F.col(key).cast("string")))
+    return grouped.filter(
+        F.when(F.col("_entries") == 1, F.lit(True)).otherwise(stop.cast("boolean"))
+    ).select(
+        *([key] if entry_id else []),
+        *GROUPS,
+        *[F.col("_kept").getField(c).alias(c) for c in others],
     )

@@ -124,7 +124,7 @@ def merge_edges(
     set_cols = set_cols or []
     n_rows = F.sum(weight) if weight else F.count(F.lit(1))
     best = F.max_by(
-        F.struct(*set_cols) if set_cols else F.lit(1), _order(order, set_cols)
+        F.struct(*set_cols) if set_cols else F.lit(1), F.struct(_order(order, set_cols))
     ).alias("_best")
     grouped = (
         incoming.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -63,21 +62,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# Rows and bytes up to which a side is sent to every task.
-SMALL_SIDE_ROWS = 200_000
-SMALL_SIDE_BYTES = 64 << 20
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = SMALL_SIDE_ROWS, max_bytes: int = SMALL_SIDE_BYTES
-) -> DataFrame:
-    """``df`` with a broadcast hint if it is measured to be small, else as it is.
-
-    For sides whose size the optimizer overestimates, such as joins of small tables; a
-    larger side is joined by shuffle.
-    """
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    n, n_bytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return F.broadcast(df) if n <= max_rows and n_bytes <= max_bytes else df

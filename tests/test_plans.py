@@ -10,7 +10,7 @@ from kinweave.operators.keys import keep_one, last_wins
 from kinweave.operators.neighbours import topk_similarity
 from kinweave.operators.paths import Graph, incoming_counts
 from kinweave.operators.upsert import merge_edges
-from kinweave.session import broadcast_if_small, materialise, shared_dir
+from kinweave.session import materialise, shared_dir
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -104,13 +104,12 @@ def test_small_right_side_needs_no_shuffle_of_the_left(spark):
     assert "MapInArrow" in plan and "Exchange" not in plan
 
 
-def test_broadcast_is_checked(spark):
-    small, large = spark.range(10), spark.range(100)
-    hinted = [
-        "ResolvedHint" in broadcast_if_small(df, 50)._jdf.queryExecution().analyzed().toString()
-        for df in (small, large)
-    ]
-    assert hinted == [True, False]
+def test_person_queries_do_not_read_lines(spark):
+    from kinweave.catalog import QUERIES
+
+    for name in ("f6_persons_frame", "g3_person_nodes", "b18_repair_date"):
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        assert "customer" in plan and "lineitem" not in plan and "orders" not in plan
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from kinweave.catalog import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -32,14 +33,14 @@ def rows_of(rows, columns):
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = rows_of(df.collect(), df.columns)
-    if name not in oracle_sql():
+    if name not in SQL:
         assert got
         return
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(SQL[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert got == rows_of(result.fetchall(), columns)
@@ -50,4 +51,4 @@ def test_entry(spark):
 
 
 def test_only_the_approximate_search_has_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"h5_approximate_topk"}
+    assert set(QUERIES) - set(SQL) == {"h5_approximate_topk"}
