@@ -82,14 +82,18 @@ def exact_groups(
     content = squeezed(F.col(text_col))
     out = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.drop(*out)
-    ranked = docs.withColumns(
-        {"_rank": _rank(F.col(text_col), F.col(id_col)), "_digest": digest(content)}
+    # The input's columns travel in one, so that none can be taken for a column made here.
+    ranked = docs.select(
+        F.struct(*docs.columns).alias("_doc"),
+        _rank(F.col(text_col), F.col(id_col)).alias("_rank"),
+        digest(content).alias("_digest"),
+        sha256(content).alias("_sha"),
     )
-    rows = ranked.select(
-        "_digest",
+    rows = docs.select(
+        digest(content).alias("_digest"),
         F.pmod(F.xxhash64(id_col), F.lit(salts)).alias("_salt"),
         content.alias("_content"),
-        "_rank",
+        _rank(F.col(text_col), F.col(id_col)).alias("_rank"),
     )
     per_digest = materialise(
         _contents(rows, salts)
@@ -108,24 +112,23 @@ def exact_groups(
         of_digest = rows.join(shared, "_digest", "left_semi")
         told_apart = _contents(of_digest, salts)
         found = found.unionByName(
-            ranked.withColumn("_content", content)
+            ranked.withColumn("_content", squeezed(F.col("_doc").getField(text_col)))
             .join(told_apart, ["_digest", "_content"])
             .drop("_content")
         )
     return found.select(
-        *docs.columns,
+        *(F.col("_doc").getField(name).alias(name) for name in docs.columns),
         _id_of(F.col("_best")).alias("keep_id"),
         F.col("_size").alias("group_size"),
         (F.col("_rank") == F.col("_best")).alias("kept"),
-        sha256(content).alias("text_sha256"),
+        F.col("_sha").alias("text_sha256"),
     )
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, one for each group of equal texts, with the input's columns."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept")
-    return (
-        kept.groupBy("text_sha256")
-        .agg(F.first(F.struct(*docs.columns)).alias("_row"))
-        .select("_row.*")
+    whole = docs.select(
+        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.struct(*docs.columns).alias("_row")
     )
+    kept = exact_groups(whole, "_id", "_text").filter("kept")
+    return kept.groupBy("text_sha256").agg(F.first("_row").alias("_row")).select("_row.*")
