@@ -14,7 +14,7 @@ from kinweave.session import materialise
 
 SCALE = 256
 TOP = 5
-# Groups of queries, at most; few queries make few groups.
+# Cells of queries around pivots, at most; few queries make few cells.
 MOST_PIVOTS = 256
 QUERIES_PER_PIVOT = 64
 # Rows of either side that one task solves at a time.
@@ -93,6 +93,26 @@ def _best(q_ids, q, x_ids, x, k: int):
             yield row, x_ids[at], line[at]
 
 
+def _grouped(pivots: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Cells with queries, put together with their nearest until a group fills a cell's rows.
+
+    A row goes once to a group that needs it, however many of its cells do.
+    """
+    left, groups = set(np.flatnonzero(sizes).tolist()), []
+    while left:
+        start = min(left)
+        near = ((pivots - pivots[start]) ** 2).sum(axis=1)
+        taken, size = [], 0
+        for cell in sorted(left, key=lambda c: (near[c], c)):
+            if taken and size + sizes[cell] > CELL_QUERIES:
+                break
+            taken.append(cell)
+            size += sizes[cell]
+        left -= set(taken)
+        groups.append(np.array(taken))
+    return groups
+
+
 def _pivots(queries: DataFrame, most: int, per_pivot: int) -> np.ndarray:
     """A bounded sample of the distinct queries, in the order of a hash; at most ``most``."""
     n = queries.count()
@@ -118,11 +138,12 @@ def top_k(
     no part (see ``quantised``); a query without any other row has no result; other columns
     are left out; an empty input gives no rows.
 
-    Queries and data are grouped by their nearest pivot. A group of queries is a ball around
-    its pivot, so the products with a row lie within the ball's radius times the row's length
-    of the pivot's product. The (k + 1)-th best of the lower bounds is what any query of the
-    group surely reaches; rows, and groups of rows by their summary, whose upper bound stays
-    below are not sent to it. What is sent is solved in cells of bounded size.
+    Queries and data fall into cells around their nearest pivots. A cell of queries is a ball,
+    so the products with a row lie within the ball's radius times the row's length of the
+    pivot's product. The (k + 1)-th best of the lower bounds is what any query of the cell
+    surely reaches; rows, and cells of rows by their summary, whose upper bound stays below
+    are not sent to it. Neighbouring cells make groups, and what a group is sent is solved in
+    parts of bounded size. On vectors without any structure nothing can be ruled out.
     """
     rows = quantised(vectors, id_col, vector_col, scale)
     asked = quantised(vectors.filter(is_query), id_col, vector_col, scale)
@@ -166,6 +187,11 @@ def top_k(
     for g, away, n in balls:
         radius[g], asked_in[g] = away, n
     live = asked_in > 0
+    groups = _grouped(pivots, asked_in)
+    group_of = np.zeros(n_groups, dtype=np.int64)
+    for g, cells in enumerate(groups):
+        group_of[cells] = g
+    asked_by = np.array([asked_in[cells].sum() for cells in groups], dtype=np.int64)
 
     def bounds(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         product, norm = x @ pivots.T, np.linalg.norm(x, axis=1)
@@ -223,23 +249,25 @@ def top_k(
     open_pairs = (greatest >= floor) & live
 
     def needed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, query group) of all rows that may be among the best of a group."""
-        group, _ = _nearest(x, pivots)
-        return np.nonzero(open_pairs[group] & (bounds(x)[1] >= floor))
+        """(row, group of cells) of all rows that may be among the best of a cell in it."""
+        cell, _ = _nearest(x, pivots)
+        wanted = open_pairs[cell] & (bounds(x)[1] >= floor)
+        return np.nonzero(np.stack([wanted[:, cells].any(axis=1) for cells in groups], axis=1))
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(n_groups, dtype=np.int64)
+        count = np.zeros(len(groups), dtype=np.int64)
         for batch in batches:
             if batch.num_rows:
-                count += np.bincount(needed(filled(batch).astype(np.float64))[1], minlength=n_groups)
+                sent = needed(filled(batch).astype(np.float64))[1]
+                count += np.bincount(sent, minlength=len(groups))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(n_groups)), pa.array(count)], names=["g", "n"]
+            [pa.array(np.arange(len(groups))), pa.array(count)], names=["g", "n"]
         )
 
-    sent_to = np.zeros(n_groups, dtype=np.int64)
+    sent_to = np.zeros(len(groups), dtype=np.int64)
     for g, n in data.mapInArrow(sizes, "g long, n long").groupBy("g").agg(F.sum("n")).collect():
         sent_to[g] = n
-    q_cells = np.maximum(1, -(-asked_in // CELL_QUERIES))
+    q_cells = np.maximum(1, -(-asked_by // CELL_QUERIES))
     x_cells = np.maximum(1, -(-sent_to // CELL_ROWS))
     schema = "g long, s long, c long, id long, vec array<long>"
 
@@ -266,7 +294,7 @@ def top_k(
         for batch in batches:
             if batch.num_rows:
                 x = filled(batch)
-                group = _nearest(x.astype(np.float64), pivots)[0]
+                group = group_of[_nearest(x.astype(np.float64), pivots)[0]]
                 yield from dealt(
                     x, batch.column(0).to_numpy(), np.arange(len(x)), group, q_cells, x_cells, True
                 )
