@@ -340,20 +340,18 @@ def mixed_documents(
         )
     )
     trimmed = F.regexp_replace(original, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
-    cut = F.array_join(
-        F.flatten(
-            F.transform(
-                "_spans",
-                lambda s: F.slice(
-                    F.col("_all"), (s["_at"] + 1).cast("int"), s["_words"].cast("int")
-                ),
-            )
-        ),
-        " ",
-    )
-    joined = mix.rows.join(spans, "_row").withColumn(
-        "_all", F.when(F.col("_got") < F.col("_size"), F.split(trimmed, f"{SPACE_CLASS}+"))
-    )
+
+    def joined_spans(words: Column) -> Column:
+        parts = F.transform(
+            "_spans",
+            lambda s: F.slice(words, (s["_at"] + 1).cast("int"), s["_words"].cast("int")),
+        )
+        return F.array_join(F.flatten(parts), " ")
+
+    # Bound to a variable, so that the text is split once and not for every span.
+    words = F.array(F.split(trimmed, f"{SPACE_CLASS}+"))
+    cut = F.get(F.transform(words, joined_spans), F.lit(0))
+    joined = mix.rows.join(spans, "_row")
     text = F.when(F.col("_got") < F.col("_size"), cut).otherwise(original)
     return joined.select(
         *(
