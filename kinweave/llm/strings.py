@@ -22,6 +22,8 @@ WINDOW, SHORT = 200, 32
 WIDTH = WINDOW - SHORT + 1
 # What a stretch shows beyond its short string on one side: half of the rest.
 SIDE = (WINDOW - SHORT) // 2
+# Bytes of a stretch's key, which stand as one symbol in a suffix array.
+KEY_SIZE = SHORT + SIDE
 # Bytes of one suffix array, and of one key beyond which its strings are counted by digest.
 SHARD_BYTES = 1 << 18
 KEY_BYTES = 1 << 20
@@ -47,10 +49,11 @@ def _anchors(text: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _stretches(powers: Powers):
-    """(code, start, d1, d2, bytes) of the stretches around anchors.
+    """(code, d1, d2, key, start, stop) of the stretches around anchors.
 
     Windows with one anchor begin in a row. Those that show 84 bytes before it form a stretch
-    keyed by these bytes and the anchor's, the others one keyed by the 84 after it.
+    keyed by these bytes and the anchor's, the others one keyed by the 84 after it; ``key`` is
+    where that begins. The digest is of the stretch's bytes.
     """
 
     def work(text: bytes, at: np.ndarray):
@@ -61,22 +64,29 @@ def _stretches(powers: Powers):
         split = np.maximum(first, at - SIDE)
         late, early = split <= last, first < split
         starts = np.concatenate([split[late], first[early]])
-        stops = np.concatenate([last[late], np.minimum(split - 1, last)[early]])
+        stops = WINDOW + np.concatenate([last[late], np.minimum(split - 1, last)[early]])
         code = np.concatenate(
             [
-                codes(data, at[late], at[late] + SHORT + SIDE, powers),
+                codes(data, at[late], at[late] + KEY_SIZE, powers),
                 ~codes(data, at[early] - SIDE, at[early] + SHORT, powers),
             ]
         )
-        parts = [text[a : b + WINDOW] for a, b in zip(starts.tolist(), stops.tolist())]
-        digests = np.frombuffer(
-            b"".join(map(xxhash.xxh3_128_digest, parts)), dtype="<i8"
-        ).reshape(-1, 2)
-        return code.view(np.int64), starts, digests[:, 0].copy(), digests[:, 1].copy(), parts
+        key = np.concatenate([at[late], at[early] - SIDE]) - starts
+        digests = b"".join(
+            xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(starts.tolist(), stops.tolist())
+        )
+        keys = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
+        return code.view(np.int64), keys[:, 0].copy(), keys[:, 1].copy(), key, starts, stops
 
     return work
 
 
+def _bytes(text: bytes, codes_, d1, d2, weights, keys, starts, stops):
+    """(code, d1, d2, weight, key, bytes) of the stretches named."""
+    parts = [text[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+    return codes_, d1, d2, weights, keys, pa.array(parts, pa.binary())
+
+
 STRETCH = ["code", "d1", "d2"]
 
 
@@ -84,10 +94,20 @@ def _shard_starts(stretches: DataFrame) -> DataFrame:
     """(code, d1, d2, start) of repeated windows, by suffix arrays over shards.
 
     A shard holds all stretches of its codes; it is closed at the next code once it is large.
+    Every window holds its stretch's key, and equal windows hold equal keys at one place. So
+    a key stands as one symbol, which is that of no other bytes, and windows get shorter.
     """
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        starts = repeated_starts([r[4] for r in rows], np.array([r[3] for r in rows]), WINDOW)
+        symbols: dict[bytes, int] = {}
+        parts = []
+        for row in rows:
+            key, part = row[4], row[5]
+            symbol = 256 + symbols.setdefault(part[key : key + KEY_SIZE], len(symbols))
+            sides = np.frombuffer(part[:key] + b"\0" + part[key + KEY_SIZE :], dtype=np.uint8)
+            parts.append(sides.astype(np.int64))
+            parts[-1][key] = symbol
+        starts = repeated_starts(parts, np.array([r[3] for r in rows]), WINDOW - KEY_SIZE + 1)
         owner = np.repeat(np.arange(len(rows)), [len(s) for s in starts])
         columns = [pa.array([r[i] for r in rows], pa.int64()).take(pa.array(owner)) for i in range(3)]
         flat = np.concatenate([*starts, np.zeros(0, dtype=np.int64)]).astype(np.int64)
@@ -101,12 +121,12 @@ def _shard_starts(stretches: DataFrame) -> DataFrame:
                     yield solve(shard)
                     shard, size = [], 0
                 shard.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if shard:
             yield solve(shard)
 
     return (
-        stretches.select(*STRETCH, "weight", "bytes")
+        stretches.select(*STRETCH, "weight", "key", "bytes")
         .repartition("code")
         .sortWithinPartitions("code")
         .mapInArrow(run, "code long, d1 long, d2 long, at long")
@@ -159,8 +179,9 @@ def remove_strings(
 
     A string is looked at through the least of its 32-byte strings, which equal ones choose
     alike; so only stretches whose anchor, and then 84 bytes more at one side of it, occur
-    twice can hold a repeat. Equal stretches are one with a weight. Stretches of a key meet in
-    one shard, whose suffix array and common prefixes show the repeats in it. Keys with more
+    twice can hold a repeat. Equal stretches are one with a weight; a key whose
+    stretches all occur twice needs no more. The different stretches of a key meet in one shard, whose suffix
+    array and common prefixes show the repeats in it. Keys with more
     than ``key_bytes`` of different stretches are spread out and counted by digest instead.
     Texts equal as a whole are found first, and one of them is searched for the others.
     """
@@ -171,38 +192,80 @@ def remove_strings(
     firsts = materialise(repeats.copies(single), "strings-copies")
     texts = repeats.one_per_key(repeats.candidates(rows, facts, firsts, "strings-texts"))
 
-    schema = "code long, start long, d1 long, d2 long, bytes binary"
+    schema = "code long, d1 long, d2 long, key long, start long, stop long"
     stretches = materialise(
         repeats.mapped(texts, _stretches(powers), ["_at"], schema), "strings-stretches"
     )
-    met = repeats.repeated(stretches, ["code"])
-    distinct = materialise(
-        met.groupBy(*STRETCH).agg(F.count(F.lit(1)).alias("weight"), F.first("bytes").alias("bytes")),
+    # Equal stretches count together and are known by the first place of one of them.
+    place = F.struct(*KEY, "start", "stop", "key")
+    distinct = stretches.groupBy(*STRETCH).agg(
+        F.count(F.lit(1)).alias("weight"), F.min(place).alias("_place")
+    )
+    per_code = distinct.groupBy("code").agg(
+        F.sum("weight").alias("_times"),
+        F.min("weight").alias("_least"),
+        F.sum(F.col("_place.stop") - F.col("_place.start")).alias("_bytes"),
+    )
+    met = materialise(
+        distinct.join(per_code.filter("_times > 1"), "code")
+        .withColumn("_alike", F.col("_least") > 1)
+        .select(
+            *STRETCH, "weight", "_place.*", "_alike", "_bytes"
+        ),
         "strings-distinct",
     )
-    large = (
-        distinct.groupBy("code")
-        .agg(F.sum(F.length("bytes")).alias("_bytes"))
-        .filter(F.col("_bytes") > key_bytes)
-        .select("code")
+    # Where every stretch of a key is met more than once, all of them are repeated.
+    alike = met.filter("_alike").select(
+        *STRETCH, F.array(F.struct(F.lit(0).cast("long").alias("at"), (F.col("stop") - F.col("start")).alias("upto"))).alias("_spans")
     )
-    starts = _shard_starts(distinct.join(large, "code", "left_anti")).unionByName(
-        _counted_starts(distinct.join(large, "code", "left_semi"))
+    named = F.struct(*STRETCH, "weight", "key", "start", "stop")
+    columns = ["code", "d1", "d2", "weight", "key", "start", "stop"]
+    wanted = (
+        met.filter("NOT _alike")
+        .groupBy(*KEY, (F.col("_bytes") > key_bytes).alias("_large"))
+        .agg(F.collect_list(named).alias("_named"))
+        .select(*KEY, *(F.col(f"_named.{c}").alias(f"_{c}") for c in columns), "_large")
     )
-    spans = materialise(
-        starts.groupBy(*STRETCH).agg(F.sort_array(F.collect_list("at")).alias("_at")), "strings-spans"
+    read = repeats.join_key(texts, materialise(wanted, "strings-wanted"))
+
+    def stretches_of(large: bool) -> DataFrame:
+        part = read.filter(F.col("_large") == F.lit(large))
+        return repeats.mapped(
+            part,
+            _bytes,
+            [f"_{c}" for c in columns],
+            "code long, d1 long, d2 long, weight long, key long, bytes binary",
+        )
+
+    starts = _shard_starts(stretches_of(False)).unionByName(_counted_starts(stretches_of(True)))
+    unlike = starts.groupBy(*STRETCH).agg(
+        F.collect_list(F.struct("at", (F.col("at") + WINDOW).alias("upto"))).alias("_spans")
     )
+    spans = materialise(unlike.unionByName(alike), "strings-spans")
     of_docs = (
         stretches.select(*KEY, *STRETCH, "start")
         .join(spans, STRETCH)
-        .select(*KEY, F.transform("_at", lambda x: x + F.col("start")).alias("_at"))
+        .select(*KEY, "start", "_spans")
         .groupBy(*KEY)
-        .agg(F.flatten(F.collect_list("_at")).alias("_starts"))
+        .agg(
+            F.flatten(
+                F.collect_list(
+                    F.transform(
+                        "_spans",
+                        lambda x: F.struct(
+                            (x["at"] + F.col("start")).alias("at"),
+                            (x["upto"] + F.col("start")).alias("upto"),
+                        ),
+                    )
+                )
+            ).alias("_all")
+        )
+        .select(*KEY, F.col("_all.at").alias("_starts"), F.col("_all.upto").alias("_stops"))
     )
     cut = repeats.mapped(
-        repeats.join_key(texts, of_docs),
-        lambda text, at: _cut(text, at, at + WINDOW),
-        ["_starts"],
+        repeats.join_key(texts, materialise(of_docs, "strings-cuts")),
+        _cut,
+        ["_starts", "_stops"],
         "n_removed long, n_spans long, kept_sha256 string",
     )
 

@@ -61,8 +61,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     by_substring = rough[is_left[rough]]
     end = np.full(len(text), len(text), dtype=np.int64)
     end[left[:-1]] = left[1:] + 1
-    width = text.itemsize
-    raw = text.tobytes()
+    width = 4
+    raw = text.astype(np.int32).tobytes()
     names = np.zeros(len(text), dtype=np.int64)
     name, last = 0, None
     for i, e in zip(by_substring.tolist(), end[by_substring].tolist()):
@@ -100,15 +100,16 @@ def permuted_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
 
 
 def repeated_starts(
-    parts: list[bytes], weights: np.ndarray, window: int
+    parts: list[np.ndarray], weights: np.ndarray, window: int
 ) -> list[np.ndarray]:
     """In each part, the starts of windows that occur more than once among all the parts.
 
-    A part counts ``weights`` times. The parts stand in one text between equal marks; a
-    window lies within one part, and equal windows are neighbours in the suffix array.
+    Parts hold whole numbers from 0; one counts ``weights`` times. The parts stand in one text
+    between equal marks; a window lies within one part, and equal windows are neighbours in
+    the suffix array.
     """
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    joined = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.int64) + 2
+    joined = np.concatenate(parts).astype(np.int64) + 2
     first = np.cumsum(sizes + 1) - sizes - 1
     text = np.ones(int(sizes.sum()) + len(parts) + 1, dtype=np.int64)
     text[-1] = 0

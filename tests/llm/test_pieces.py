@@ -27,7 +27,7 @@ def test_suffix_array_and_prefixes(symbols):
 
 @given(st.lists(st.text("ab", min_size=1, max_size=30), min_size=1, max_size=6))
 def test_repeated_starts(parts):
-    raw = [p.encode() for p in parts]
+    raw = [np.frombuffer(p.encode(), dtype=np.uint8) for p in parts]
     found = repeated_starts(raw, np.ones(len(raw)), 3)
     every = [p[i : i + 3] for p in parts for i in range(len(p) - 2)]
     for part, starts in zip(parts, found):
@@ -36,7 +36,7 @@ def test_repeated_starts(parts):
 
 
 def test_a_part_that_counts_twice_repeats_itself():
-    found = repeated_starts([b"abcdef", b"uvw"], np.array([2, 1]), 3)
+    found = repeated_starts([np.arange(6), np.arange(9, 12)], np.array([2, 1]), 3)
     assert [f.tolist() for f in found] == [[0, 1, 2, 3], []]
 
 
