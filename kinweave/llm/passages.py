@@ -5,23 +5,21 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm import repeats
 from kinweave.llm.repeats import KEY
-from kinweave.llm.windows import Powers, anchors, codes, covered
+from kinweave.llm.windows import Powers, anchors, codes, covered, runs
 from kinweave.session import materialise
 
-# Words of a window; the levels before it are a quarter and a half.
+# Words of a window, and of the windows of half the length that are looked at first.
 WINDOW = 20
-SHORT, MIDDLE = WINDOW // 4, WINDOW // 2
+SHORT = WINDOW // 2
 # Short windows in a window.
 WIDTH = WINDOW - SHORT + 1
-# A middle window begins at the anchor if that is in the first half, else a short one before.
-AHEAD = WINDOW - MIDDLE
-BACK = MIDDLE - SHORT
 
 
 class Words:
@@ -62,33 +60,17 @@ def _described(powers: Powers):
     return work
 
 
-def _middle(powers: Powers):
-    """(code, mark) of the middle windows around anchors; a mark is 2 * anchor + side."""
-
-    def work(text: bytes, at: np.ndarray):
-        words = Words(text)
-        at = np.unique(at)
-        ahead, back = at[at + MIDDLE <= words.n], at[at >= BACK]
-        code = np.concatenate(
-            [
-                words.codes(ahead, MIDDLE, powers),
-                ~words.codes(back - BACK, MIDDLE, powers),  # the sides do not meet
-            ]
-        )
-        return code.view(np.int64), np.concatenate([2 * ahead, 2 * back + 1])
-
-    return work
-
-
 def _long(powers: Powers):
-    """(k1, k2, start) of the windows whose middle window is repeated."""
+    """(k1, k2, start, stop) of the windows whose short window is repeated.
+
+    A window that begins for the first time in its text has its digest. Those that repeat an
+    earlier one of the same text go anyway; they come as stretches without a digest.
+    """
 
-    def work(text: bytes, marks: np.ndarray):
+    def work(text: bytes, at: np.ndarray):
         words = Words(text)
         _, anchor = words.anchors(powers)
-        start = np.arange(len(anchor))
-        mark = 2 * anchor + (anchor - start > AHEAD)
-        start = start[np.isin(mark, marks)]
+        start = np.flatnonzero(np.isin(anchor, at))
         digests = b"".join(
             xxhash.xxh3_128_digest(words.plain[s:e])
             for s, e in zip(
@@ -96,15 +78,26 @@ def _long(powers: Powers):
             )
         )
         keys = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
-        return keys[:, 0].copy(), keys[:, 1].copy(), start
+        _, first = np.unique(keys, axis=0, return_index=True)
+        again = np.ones(len(start), dtype=bool)
+        again[first] = False
+        begin, end = runs(covered(words.n, start[again], start[again] + WINDOW))
+        first.sort()
+        none = pa.nulls(len(begin), pa.int64())
+        return (
+            pa.concat_arrays([pa.array(keys[first, 0]), none]),
+            pa.concat_arrays([pa.array(keys[first, 1]), none]),
+            np.concatenate([start[first], begin]),
+            np.concatenate([start[first] + WINDOW, end]),
+        )
 
     return work
 
 
-def _cut(text: bytes, starts: np.ndarray):
+def _cut(text: bytes, starts: np.ndarray, stops: np.ndarray):
     """(number of words removed, SHA-256 of the words kept)."""
     words = Words(text)
-    gone = covered(words.n, starts, starts + WINDOW)
+    gone = covered(words.n, starts, stops)
     kept = np.flatnonzero(~gone)
     plain = b" ".join(
         words.plain[s:e]
@@ -124,12 +117,12 @@ def remove_passages(
     takes words from the other; NULL and empty texts have no words; an empty input gives no
     rows; other columns are left out.
 
-    A window of 20 words is repeated only if the 5 and the 10 words in it are. So windows of
-    5 are counted, those repeated are doubled to 10, and those again to 20, where nothing is
-    left to double. A window is looked at through one short window in it, the one with the
-    least code, which equal windows choose alike: one place in eight enters the first level.
-    Codes only rule out; the last level compares 128-bit digests of the words themselves.
-    Documents equal as a whole are found first, and only the first of them is searched.
+    A window of 20 words is repeated only if the windows of 10 in it are. So windows of 10 are
+    counted, and those repeated alone are extended to 20, where nothing is left to double. A
+    window is looked at through one short window in it, the one with the least code, which
+    equal windows choose alike: one place in six enters the first level. Codes only rule
+    out; the last level compares 128-bit digests of the words themselves. Documents equal as
+    a whole are found first, and only the first of them is searched.
     """
     rows = repeats.keyed(docs, id_col, text_col)
     powers = Powers()
@@ -139,26 +132,34 @@ def remove_passages(
     found = repeats.candidates(rows, facts, firsts, "passages-texts")
     texts = repeats.one_per_key(found)
 
-    middle = materialise(
-        repeats.mapped(texts, _middle(powers), ["_at"], "code long, mark long"), "passages-10"
-    )
-    marks = repeats.repeated(middle, ["code"]).groupBy(*KEY).agg(F.collect_list("mark").alias("_marks"))
     long = materialise(
-        repeats.mapped(
-            repeats.join_key(texts, marks), _long(powers), ["_marks"], "k1 long, k2 long, start long"
-        ),
-        "passages-20",
+        repeats.mapped(texts, _long(powers), ["_at"], "k1 long, k2 long, start long, stop long"),
+        "passages-windows",
     )
     place = F.struct(F.col("_id").isNull().alias("_null"), "_id", "_h", "start")
-    first = (
-        long.groupBy("k1", "k2")
+    windows = long.filter("k1 IS NOT NULL")
+    first = materialise(
+        windows.groupBy("k1", "k2")
         .agg(F.min(place).alias("_place"), F.count(F.lit(1)).alias("_times"))
         .filter("_times > 1")
+        .drop("_times"),
+        "passages-first",
+    )
+    later = windows.join(first, ["k1", "k2"]).filter(~place.eqNullSafe(F.col("_place")))
+    span = F.struct("start", "stop")
+    spans = materialise(
+        later.select(*KEY, "start", "stop")
+        .unionByName(long.filter("k1 IS NULL").select(*KEY, "start", "stop"))
+        .groupBy(*KEY)
+        .agg(F.collect_list(span).alias("_spans"))
+        .select(*KEY, F.col("_spans.start").alias("_starts"), F.col("_spans.stop").alias("_stops")),
+        "passages-spans",
     )
-    later = long.join(first, ["k1", "k2"]).filter(~place.eqNullSafe(F.col("_place")))
-    starts = later.groupBy(*KEY).agg(F.collect_list("start").alias("_starts"))
     cut = repeats.mapped(
-        repeats.join_key(texts, starts), _cut, ["_starts"], "n_removed long, kept_sha256 string"
+        repeats.join_key(texts, spans),
+        _cut,
+        ["_starts", "_stops"],
+        "n_removed long, kept_sha256 string",
     )
 
     first_of = firsts.select("_sha", F.col("_id").alias("_id1"), F.col("_h").alias("_h1"))

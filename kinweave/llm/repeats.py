@@ -133,7 +133,7 @@ def mapped(df: DataFrame, work: Callable, columns: list[str], schema: str) -> Da
                 )
                 owner.append(np.full(len(found[0]), row))
                 for part, column in zip(parts, found):
-                    part.append(pa.array(column))
+                    part.append(column if isinstance(column, pa.Array) else pa.array(column))
             if not batch.num_rows:
                 continue
             take = pa.array(np.concatenate(owner))
