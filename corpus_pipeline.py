@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from kinweave.llm import exact, language, mixture, packing, simhash
 from kinweave.session import materialise
 
-# Documents go whose words agree on no language by at least this share.
-LEAST_LANGUAGE = 0.5
 TOKENIZER = "word_bpe_49k.json"
 
 # Learned labels and pseudorandom draws have no counterpart in SQL.
@@ -18,16 +16,16 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; those without letters or a clear one go.
+    """Documents with letters; those that are NULL or have none are of no language and go.
 
     Learns from documents whose crc32 of the id is not 1 modulo 3 and that have a ``lang``. If
-    there is none to learn from, no language is known and all documents go.
+    there is none to learn from, no language is known and all documents go. The score is the
+    share of the best label, low in any text of several languages, so it rejects nothing.
     """
     names = docs.columns
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
     labelled = language.label_languages(docs, F.coalesce(fold, F.lit(0)) != 1)
-    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)
-    return labelled.filter(sure).select(*names)
+    return labelled.filter(F.col("lang_pred") != language.UNKNOWN).select(*names)
 
 
 def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """The pipeline: each stage against a plain version on its own input."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from kinweave.llm import language
 from kinweave.session import materialise
 from tests.llm import brute
 
@@ -43,6 +45,33 @@ def test_stages(steps):
     assert sum(r.piece == 0 for r in packed) == len(mix)
 
 
+def test_language_keeps_every_lettered_document(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    words = {}
+    for r in docs.filter("text IS NOT NULL AND lang IS NOT NULL").orderBy("doc_id").collect():
+        words.setdefault(r.lang, []).extend(brute.words(r.text)[:40])
+    langs = sorted(words)[:3]
+    shares = [(10, 9, 8), (16, 14, 10), (9, 9, 9), (40, 35, 25)]
+    texts = [
+        " ".join(w for lang, n in zip(langs, parts) for w in words[lang][at : at + n])
+        for at in (0, 50, 100)
+        for parts in shares
+    ]
+    texts += [w for lang in langs for w in words[lang] if any(map(str.isalpha, w))]
+    odd = [None, "", "12 34 !", " \n"]
+    # Without a label, so that nothing is learned from them.
+    extra = spark.createDataFrame(
+        [(10**9 + i, t) for i, t in enumerate(texts + odd)], "doc_id long, text string"
+    )
+    both = docs.unionByName(extra, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, both, SF_DIR).collect()}
+    lettered = {r.doc_id for r in both.collect() if any(map(str.isalpha, r.text or ""))}
+    assert kept == lettered
+    scored = language.label_languages(both, F.col("lang").isNotNull())
+    mixed = scored.filter(F.col("doc_id").between(10**9, 10**9 + 3 * len(shares) - 1))
+    assert sum(r.score < 0.5 for r in mixed.collect()) >= len(shares)
+
+
 def test_run_and_empty(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
