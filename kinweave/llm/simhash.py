@@ -70,6 +70,21 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _with_fingerprints(rows: DataFrame) -> DataFrame:
+    """(_id, _text, _row, _fp) of every row of (_id, _text, _row)."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("_fp", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            found = [fingerprint(text.as_py() or b"") for text in texts]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.int64())], names=schema.names
+            )
+
+    return rows.mapInArrow(run, schema)
+
+
 def _mask(positions: tuple[int, ...]) -> int:
     """The bits of the named bytes, as a signed 64-bit number."""
     mask = sum(0xFF << (8 * p) for p in positions)
@@ -228,37 +243,60 @@ def near_groups(
     and are linked once, however many rows share them.
     """
     rows = materialise(fingerprints(docs, id_col, text_col), "simhash-rows")
+    return rows.join(_classes(rows, id_col, long_list).drop("_root"), "_fp").select(
+        id_col,
+        F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _classes(rows: DataFrame, id_col: str, long_list: int = LONG_LIST) -> DataFrame:
+    """(_root, _fp, component_id) of every fingerprint of (id, _fp); a component has one root."""
     distinct = rows.groupBy("_fp").agg(F.min(id_col).alias("_first"))
     roots = components(fingerprint_links(distinct, long_list))
     rooted = distinct.join(roots, F.col("_fp") == F.col("node"), "left").select(
         "_fp", "_first", F.coalesce("root", "_fp").alias("_root")
     )
     named = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    classes = rooted.select("_fp", "_root").join(named, "_root").drop("_root")
-    return rows.join(classes, "_fp").select(
-        id_col,
-        F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"),
-        "component_id",
-    )
+    return rooted.select("_fp", "_root").join(named, "_root")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one with its smallest id, with all columns.
 
-    Rows without an id name no document to choose and stay. Of rows with the same id, which
-    is then one document, the first by text stays.
+    Rows without an id name no document to choose and stay. Rows with the same id and other
+    texts are documents of their own: of those in one component the first by text stays, and
+    those in other components are chosen there. An id of one row only is found by the id.
     """
     known = docs.filter(F.col(id_col).isNotNull())
-    groups = near_groups(known, id_col, text_col)
-    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    repeated = known.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    chosen = known.join(kept, id_col, "left_semi")
-    if not repeated.isEmpty():
-        alone = chosen.join(repeated, id_col, "left_anti")
+    rows = materialise(fingerprints(known, id_col, text_col), "simhash-rows")
+    classes = _classes(rows, id_col)
+    first = (
+        rows.join(classes, "_fp")
+        .filter(F.col(id_col) == F.col("component_id"))
+        .select(id_col, "_fp", "_root")
+        .distinct()
+    )
+    repeated = rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(id_col)
+    if repeated.isEmpty():
+        chosen = known.join(first.select(id_col), id_col, "left_semi").select(*docs.columns)
+    else:
+        first, repeated = materialise(first, "simhash-first"), materialise(repeated, "simhash-repeated")
+        alone = first.join(repeated, id_col, "left_anti").select(id_col)
+        shared = known.join(first.join(repeated, id_col, "left_semi").select(id_col).distinct(), id_col, "left_semi")
+        # The input's columns travel in one, so that none can be taken for a column made here.
+        packed = shared.select(
+            F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.struct(*docs.columns).alias("_row")
+        )
+        found = _with_fingerprints(packed).join(
+            first.select(F.col(id_col).alias("_id"), "_fp", "_root"), ["_id", "_fp"]
+        )
         # The text first, then all other columns, so that the choice does not vary.
-        best = F.min(F.struct(text_col, F.to_json(F.struct(*docs.columns)), F.struct(*docs.columns).alias("_row")))
-        shared = (
-            chosen.join(repeated, id_col, "left_semi").groupBy(id_col).agg(best.alias("_best"))
-        ).select("_best._row")
-        chosen = alone.unionByName(shared.select("_row.*"))
+        best = F.min(F.struct("_text", F.to_json("_row").alias("_json"), "_row")).alias("_best")
+        chosen = (
+            found.groupBy("_root")
+            .agg(best)
+            .select("_best._row.*")
+            .unionByName(known.join(alone, id_col, "left_semi"))
+        )
     return chosen.unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)

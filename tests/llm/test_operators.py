@@ -163,6 +163,15 @@ def test_near_repeats_and_empty(docs, twice, empty):
     assert kept - {None} == groups
 
 
+def test_near_keeps_repeated_ids_of_other_components(spark):
+    rng = random.Random(8)
+    one, two, three = (text_of(rng, 60) for _ in range(3))
+    rows = [(1, one), (1, two), (2, two), (3, one), (1, one), (2, three), (4, three), (2, one), (5, None), (5, "x")]
+    frame = spark.createDataFrame([(i, t, "odd") for i, t in rows], "doc_id long, text string, _fp string")
+    kept = sorted(((r.doc_id, r.text or "") for r in simhash.drop_near(frame.repartition(3)).collect()))
+    assert kept == sorted([(1, one), (1, two), (2, three), (5, ""), (5, "x")])
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
