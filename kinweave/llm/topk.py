@@ -93,6 +93,32 @@ def _best(q_ids, q, x_ids, x, k: int):
             yield row, x_ids[at], line[at]
 
 
+def _per_id(ids: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id once, with the best of its rows in every column."""
+    order = np.argsort(ids, kind="stable")
+    ordered = ids[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    if len(first) == len(ids):
+        return ids, low
+    return ordered[first], np.maximum.reduceat(low[order], first, axis=0)
+
+
+def _top_ids(top, top_ids, low, ids, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """In every column the ``n`` best values of different ids, from two sets that each have an id once."""
+    if len(low) > n:
+        at = np.argpartition(low, len(low) - n, axis=0)[-n:]
+        low, ids = np.take_along_axis(low, at, axis=0), ids[at]
+    else:
+        ids = np.broadcast_to(ids[:, None], low.shape)
+    values, names = np.concatenate([top, low]), np.concatenate([top_ids, ids])
+    order = np.argsort(-values, axis=0, kind="stable")
+    values, names = (np.take_along_axis(v, order, axis=0) for v in (values, names))
+    for i in range(1, len(values)):
+        values[i, (names[:i] == names[i]).any(axis=0)] = -np.inf
+    order = np.argsort(-values, axis=0, kind="stable")[:n]
+    return np.take_along_axis(values, order, axis=0), np.take_along_axis(names, order, axis=0)
+
+
 def _grouped(pivots: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """Cells with queries, put together with their nearest until a group fills a cell's rows.
 
@@ -140,8 +166,8 @@ def top_k(
 
     Queries and data fall into cells around their nearest pivots. A cell of queries is a ball,
     so the products with a row lie within the ball's radius times the row's length of the
-    pivot's product. The (k + 1)-th best of the lower bounds is what any query of the cell
-    surely reaches; rows, and cells of rows by their summary, whose upper bound stays below
+    pivot's product. The (k + 1)-th best of the lower bounds, of the best one of each id, is
+    what any query of the cell surely reaches, as one id at most is its own; rows, and cells of rows by their summary, whose upper bound stays below
     are not sent to it. Neighbouring cells make groups, and what a group is sent is solved in
     parts of bounded size. On vectors without any structure nothing can be ruled out.
     """
@@ -199,37 +225,41 @@ def top_k(
         return product - slack, product + slack
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per task: the k + 1 best lower bounds of each query group, and per data group its
-        radius and greatest length."""
-        top = np.zeros((0, n_groups))
+        """Per task: the k + 1 best lower bounds of different ids of each query group, and per
+        data group its radius and greatest length."""
+        top, top_ids = np.zeros((0, n_groups)), np.zeros((0, n_groups), dtype=np.int64)
         reach, norms = np.full(n_groups, -1.0), np.zeros(n_groups)
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = filled(batch).astype(np.float64)
-            top = np.sort(np.concatenate([top, bounds(x)[0]]), axis=0)[-(k + 1) :]
+            ids, low = _per_id(batch.column(0).to_numpy(), bounds(x)[0])
+            top, top_ids = _top_ids(top, top_ids, low, ids, k + 1)
             group, away = _nearest(x, pivots)
             np.maximum.at(reach, group, away)
             np.maximum.at(norms, group, np.linalg.norm(x, axis=1))
-        g = np.tile(np.arange(n_groups), len(top))
+        rank, g = np.nonzero(top > -np.inf)
         met = np.flatnonzero(reach >= 0)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([g, met])),
-                pa.array(np.concatenate([top.ravel(), np.full(len(met), np.nan)])),
+                pa.array(np.concatenate([top_ids[rank, g], np.zeros(len(met), dtype=np.int64)])),
+                pa.array(np.concatenate([top[rank, g], np.full(len(met), np.nan)])),
                 pa.array(np.concatenate([np.zeros(len(g)), reach[met]])),
                 pa.array(np.concatenate([np.zeros(len(g)), norms[met]])),
             ],
-            names=["g", "low", "reach", "norm"],
+            names=["g", "id", "low", "reach", "norm"],
         )
 
     summary = materialise(
-        data.mapInArrow(summaries, "g long, low double, reach double, norm double"),
+        data.mapInArrow(summaries, "g long, id long, low double, reach double, norm double"),
         "topk-summaries",
     )
     best_low = Window.partitionBy("g").orderBy(F.desc("low"))
     sure = (
         summary.filter(~F.isnan("low"))
+        .groupBy("g", "id")
+        .agg(F.max("low").alias("low"))
         .withColumn("_nth", F.row_number().over(best_low))
         .filter(F.col("_nth") == k + 1)
         .select("g", "low")

@@ -383,6 +383,26 @@ def test_top_k(spark):
     assert topk.top_k(frame.filter("vec_id = 50"), query).count() == 0
 
 
+def test_top_k_of_an_id_with_several_vectors(spark):
+    rng = random.Random(9)
+    rows = [(0, [100.0 + i, 0.0]) for i in range(8)] + [(50, [0.0, 90.0]), (50, [3.0, 80.0])]
+    rows += [(i, [rng.choice([-1.0, 0.5, 1.0]), rng.choice([0.0, 2.0])]) for i in range(1, 40)]
+    rows += [(60, [60.0 + i, 1.0]) for i in range(9)]  # one other id cannot fill the ranks
+    rows = list(dict.fromkeys((i, tuple(v)) for i, v in rows))
+    frame = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id long, embedding array<float>")
+    whole = [(i, [int(256 * x // 1) for x in v]) for i, v in rows]
+    wanted = []
+    for q, v in whole:
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), x) for x, w in whole if x != q)
+            wanted += [(q, rank, x, -s) for rank, (s, x) in enumerate(scores[:5], 1)]
+    query = F.col("vec_id") % 50 == 0
+    for parts in (1, 3):
+        for per_pivot in (1, 64):
+            found = topk.top_k(frame.repartition(parts), query, per_pivot=per_pivot)
+            assert tuples(found) == sorted(wanted, key=repr)
+
+
 # Learned operators.
 
 
