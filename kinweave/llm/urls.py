@@ -24,7 +24,8 @@ STEPS = 20
 # Steps between two writes of the scores.
 WRITE_EVERY = 5
 # A host is blocked if its distrust exceeds its trust by more than this. A host of blocked
-# pages alone starts with 1 - DAMPING, so half of its pages or its links must be bad.
+# pages alone starts with 1 - DAMPING. Its distrust is divided among the links into it, so a
+# host that is one of many to link to it stays below, even if all its own links are bad.
 THRESHOLD = 0.075
 
 
