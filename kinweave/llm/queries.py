@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm import (
+    codes,
     exact,
     language,
     mixture,
@@ -182,3 +183,57 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_array_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strings.remove_strings(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    steps = [f"""WITH v AS MATERIALIZED (
+  SELECT vec_id, label,
+         list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, label, pos, v[pos * (len(v) // 8) + 1 : (pos + 1) * (len(v) // 8)] AS part
+  FROM v, range(8) AS t(pos)
+), c0 AS MATERIALIZED (
+  SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS entry, part AS e
+  FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {codes.ENTRIES})
+)"""]
+    for n in range(codes.ROUNDS + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+  SELECT vec_id, label, pos, part, key % {codes.ENTRIES} AS entry, key // {codes.ENTRIES} AS d
+  FROM (SELECT vec_id, label, pos, part, min({codes.ENTRIES} * list_sum(list_transform(
+          list_zip(part, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT + entry) AS key
+        FROM p JOIN c{n} USING (pos) GROUP BY ALL)
+)""")
+        if n < codes.ROUNDS:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (
+  SELECT pos, entry, coalesce(m, e) AS e FROM c{n} LEFT JOIN (
+    SELECT pos, entry, list((s - (s % k + k) % k) // k ORDER BY i) AS m FROM (
+      SELECT pos, entry, i, sum(x)::BIGINT AS s, count(*) AS k FROM (
+        SELECT pos, entry, unnest(part) AS x, generate_subscripts(part, 1) AS i FROM a{n})
+      GROUP BY pos, entry, i)
+    GROUP BY pos, entry) USING (pos, entry)
+)""")
+    return ", ".join(steps) + f""", r AS (
+  SELECT vec_id, label, string_agg(lower(printf('%02x', entry)), '' ORDER BY pos) AS code,
+         sum(d)::BIGINT AS error
+  FROM a{codes.ROUNDS} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error,
+       (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY pos, entry))
+        FROM c{codes.ROUNDS}) AS codebooks_sha256
+FROM r"""
+
+
+@query("op13_vector_codes", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id",
+        "code",
+        "error",
+        "label_error",
+        F.lit(codes.books_digest(books)).alias("codebooks_sha256"),
+    )
