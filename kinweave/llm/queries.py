@@ -14,6 +14,7 @@ from kinweave.llm import (
     packing,
     passages,
     quality,
+    repair,
     simhash,
     strings,
     topk,
@@ -237,3 +238,94 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label_error",
         F.lit(codes.books_digest(books)).alias("codebooks_sha256"),
     )
+
+
+def _op12_sql() -> str:
+    moves = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    full = {"u": "user", "a": "assistant"}
+
+    def struct(cost: str, letter: str, line: str, goal: str) -> str:
+        line = f"{line} || chr(10) || {goal}.o" if line else f"{goal}.o"
+        return f"{{'c': {cost} + {goal}.c, 'a': '{letter}' || {goal}.a, 'o': {line}}}"
+
+    def best(choices: list[str]) -> str:
+        return f"list_sort([{', '.join(choices)}])[1]"
+
+    def closed(source: str) -> str:
+        """States after inserts before the row."""
+        user = best(["p2", struct("5", "I", "'assistant:'", "p3")])
+        other = best(["p3", struct("5", "I", "'user:'", "p2")])
+        return f"""SELECT conv_id, i,
+         {best(["p0", struct("5", "I", "'user:'", "n2")])} AS s0,
+         {best(["p1", struct("5", "I", "'user:'", "n2")])} AS s1, n2 AS s2, n3 AS s3
+       FROM (SELECT *, {user} AS n2, {other} AS n3 FROM ({source}))"""
+
+    never = "{'c': 1000000000::BIGINT, 'a': '', 'o': ''}"
+    ended = "{'c': 0::BIGINT, 'a': '', 'o': ''}"
+    states = []
+    for state, onward in moves.items():
+        choices = [struct("2", "D", "", f"r.s{state}")]
+        for initial, goal in onward.items():
+            extra = "(CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END)"
+            keep = struct(extra, "K", "f.role || ':' || f.text", f"r.s{goal}")
+            free = "fault IS DISTINCT FROM 'blank' AND fault IS DISTINCT FROM 'duplicate'"
+            choices.append(f"CASE WHEN {free} AND initial = '{initial}' THEN {keep} ELSE {never} END")
+            if initial in full:
+                line = f"'{full[initial]}:' || f.text"
+                other = struct(f"1 + {extra}", "R", line, f"r.s{goal}")
+                choices.append(f"CASE WHEN {free} THEN {other} ELSE {never} END")
+        states.append(f"{best(choices)} AS p{state}")
+    last = f"SELECT conv_id, n + 1 AS i, {ended} AS p0, {never} AS p1, {never} AS p2, {ended} AS p3 FROM z"
+    step = f"""SELECT r.conv_id, r.i - 1 AS i, {", ".join(states)}
+         FROM r JOIN f ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = r.i - 1"""
+    return f"""WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), w AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda x: ord(x)::BIGINT)), lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])),
+      4294967295) % 20 AS w
+  FROM conversations, t
+), d AS (
+  SELECT conv_id, turn, CASE WHEN w = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN w = 1 THEN '' WHEN w = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+              ELSE text END AS text,
+         unnest(CASE w WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS rep
+  FROM w
+), f AS MATERIALIZED (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(solid, '[.!?]$') THEN 'truncated' END AS fault
+  FROM (SELECT *, left(role, 1) AS initial,
+          regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS solid,
+          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, rep) AS nth,
+          row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, role, sha256(text), rep) AS i
+        FROM d)
+), z AS MATERIALIZED (
+  SELECT c.conv_id, count(f.i) AS n,
+         count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps
+  FROM (SELECT DISTINCT conv_id FROM conversations) c
+  LEFT JOIN f ON c.conv_id IS NOT DISTINCT FROM f.conv_id GROUP BY c.conv_id
+), r AS (
+  {closed(last)}
+  UNION ALL
+  {closed(step)}
+), g AS (
+  SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM f)
+  GROUP BY conv_id
+)
+SELECT z.conv_id, gaps, blank, duplicate, truncated, coalesce(illegal, 0) AS illegal,
+       s0.c AS cost, s0.a AS audit, sha256(left(s0.o, -1)) AS repaired_sha256
+FROM z JOIN r ON z.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = 1
+LEFT JOIN g ON z.conv_id IS NOT DISTINCT FROM g.conv_id"""
+
+
+@query("op12_conversation_repair", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"))
