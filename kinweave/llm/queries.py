@@ -13,6 +13,7 @@ from kinweave.llm import (
     mixture,
     packing,
     passages,
+    personal,
     quality,
     repair,
     simhash,
@@ -329,3 +330,78 @@ LEFT JOIN g ON z.conv_id IS NOT DISTINCT FROM g.conv_id"""
 @query("op12_conversation_repair", _op12_sql())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def _op11_sql() -> str:
+    def mentions(words: str) -> str:
+        return f"regexp_matches(near, '(?i)(^|[^A-Za-z])({words})([^A-Za-z]|$)')"
+
+    digits = "regexp_replace(hit, '[^0-9]', '', 'g')"
+    turned = "substr(replace(hit, ' ', ''), 5) || left(replace(hit, ' ', ''), 4)"
+    places = f"list_reverse(list_transform(string_split({digits}, ''), lambda x: x::INTEGER))"
+    apart = "NOT regexp_matches(before, '({})$') AND NOT regexp_matches(after, '^({})')"
+    checks = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(hit, '.'), lambda x: length(ltrim(x, '0')) > 3 "
+        "OR coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) > 255)) = 0",
+        "card": f"CASE WHEN length({digits}) BETWEEN 14 AND 19 THEN list_sum(list_transform({places}, "
+        "lambda x, i: CASE WHEN i % 2 = 1 THEN x WHEN x > 4 THEN 2 * x - 9 ELSE 2 * x END)) % 10 = 0 "
+        "ELSE false END",
+        "phone": f"length({digits}) BETWEEN 10 AND 15",
+        "iban": f"""CASE WHEN length(replace(hit, ' ', '')) BETWEEN 15 AND 34 AND
+          {apart.format("[A-Za-z0-9]", "[A-Za-z0-9]")} THEN list_reduce(list_prepend(0::BIGINT,
+          list_transform(string_split({turned}, ''), lambda x: ascii(x)::BIGINT)),
+          lambda a, x: CASE WHEN x > 57 THEN (a * 100 + x - 55) % 97 ELSE (a * 10 + x - 48) % 97 END) = 1
+          ELSE false END""",
+        "national_id": apart.format(r"[0-9][\x20-]?", r"[\x20-]?[0-9]"),
+        "local_phone": apart.format(r"[0-9+][\x20().-]*", r"[.-]?[0-9]"),
+    }
+    parts = []
+    for rank, kind in enumerate(personal.KINDS):
+        least = "true" if kind.base else f"score >= {personal.THRESHOLD}"
+        parts.append(f"""SELECT n, {rank} AS rank, '{kind.name}' AS kind, start, start + length(hit) AS stop
+  FROM (SELECT *, {kind.prior} + CASE WHEN {mentions(kind.favour)} THEN {personal.FAVOUR} ELSE 0 END
+           - CASE WHEN {mentions(kind.against)} THEN {personal.AGAINST} ELSE 0 END AS score
+    FROM (SELECT *, before || ' ' || after AS near
+      FROM (SELECT n, hit, start,
+          CASE WHEN i > 1 AND gap = '' THEN '0' ELSE right(gap, {personal.BEFORE}) END AS before,
+          left(next, {personal.AFTER}) AS after
+        FROM (SELECT n, i, hits[i] AS hit, gaps[i] AS gap, gaps[i + 1] AS next,
+            (sum(length(gaps[i])) OVER w + coalesce(sum(length(hits[i])) OVER (PARTITION BY n
+              ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
+          FROM (SELECT n, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
+            FROM (SELECT n, regexp_extract_all(text, '{kind.plain}') AS hits,
+                string_split_regex(text, '{kind.plain}') AS gaps FROM t))
+          WINDOW w AS (PARTITION BY n ORDER BY i)))))
+  WHERE {least} AND {checks[kind.name]}""")
+    union = "\n  UNION ALL ".join(parts)
+    one = "kind || ':' || start || ':' || stop"
+    base = ", ".join(f"'{kind.name}'" for kind in personal.KINDS if kind.base)
+    counts = ",\n       ".join(
+        f"count(*) FILTER (kind = '{kind.name}') AS n_{kind.name}"
+        for kind in personal.KINDS
+        if kind.base
+    )
+    return f"""WITH t AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents
+), s AS (
+  {union}
+)
+SELECT doc_id, {counts},
+       sha256(coalesce(string_agg({one}, ',' ORDER BY start, rank) FILTER (kind IN ({base})), ''))
+         AS base_sha256,
+       coalesce(string_agg({one}, ',' ORDER BY start, rank), '') AS spans
+FROM t LEFT JOIN s ON t.n = s.n GROUP BY t.n, doc_id"""
+
+
+@query("op11_personal_data", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [kind.name for kind in personal.KINDS if kind.base]
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(F.size(personal.of_kinds(spans, [n])).cast("long").alias(f"n_{n}") for n in base),
+        F.sha2(personal.joined(personal.of_kinds(spans, base)), 256).alias("base_sha256"),
+        personal.joined(spans).alias("spans"),
+    )
