@@ -27,7 +27,8 @@ class Kind:
 
     ``pattern`` finds what ``plain`` finds, but in linear time: a run of characters is tried
     from its beginning only, and no quantifier gives back. ``check`` gets the span and what is
-    before and after it. A base kind stays whatever its score.
+    before and after it. Words that favour it count on both sides, words against it only
+    before. A base kind stays whatever its score.
     """
 
     name: str
@@ -248,7 +249,7 @@ def _spans(kind: Kind, rank: int, gaps: Column, hits: Column, places: Column) ->
             F.lit(100),
             F.lit(kind.prior)
             + F.when(_mentions(near, kind.favour), FAVOUR).otherwise(0)
-            - F.when(_mentions(near, kind.against), AGAINST).otherwise(0),
+            - F.when(_mentions(before, kind.against), AGAINST).otherwise(0),
         )
         good = kind.check(hit, before, after)
         if not kind.base:
