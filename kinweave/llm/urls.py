@@ -24,8 +24,8 @@ STEPS = 20
 # Steps between two writes of the scores.
 WRITE_EVERY = 5
 # A host is blocked if its distrust exceeds its trust by more than this. A host of blocked
-# pages alone starts with 1 - DAMPING. Its distrust is divided among the links into it, so a
-# host that is one of many to link to it stays below, even if all its own links are bad.
+# pages alone starts with 1 - DAMPING, and a host all of whose links lead there has 0.85 of
+# that, however many others link there too; with half of its links it stays below.
 THRESHOLD = 0.075
 
 
@@ -78,20 +78,22 @@ def spread(
 ) -> DataFrame:
     """Personalised PageRank from (host, trust, distrust) over (src, dst, links).
 
-    Trust follows links; distrust goes against them, to the hosts that link to bad ones.
-    Both walk in the same join. A host without onward links keeps nothing back: its share
-    leaves the walk, so no sum over all hosts is needed. Scores are written every few steps.
-    Returns (host, trust, distrust) of the hosts that any score reaches.
+    Trust follows links; distrust goes against them, to the hosts that link to bad ones. Either
+    way a link counts as its share of all links out of the host it is on: a host hands on its
+    trust by these shares, and takes on distrust as the mean of what its links lead to, which
+    the number of other links to a bad host does not thin out. Both walk in the same join. A
+    host without onward links keeps nothing back: its share leaves the walk, so no sum over
+    all hosts is needed. Scores are written every few steps. Returns (host, trust, distrust)
+    of the hosts that any score reaches.
     """
     kinds = [("trust", "src", "dst"), ("distrust", "dst", "src")]
+    # Stored, so that the join is of two plain shuffles and a host with very many links splits.
+    total = materialise(links.groupBy("src").agg(F.sum("links").alias("_all")), "url-totals")
+    shares = links.join(total, "src").withColumn("share", F.col("links") / F.col("_all"))
     moves = None
     for kind, start, end in kinds:
-        total = links.groupBy(start).agg(F.sum("links").alias("_all"))
-        part = links.join(total, start).select(
-            F.lit(kind).alias("kind"),
-            F.col(start).alias("host"),
-            F.col(end).alias("to"),
-            (F.col("links") / F.col("_all")).alias("share"),
+        part = shares.select(
+            F.lit(kind).alias("kind"), F.col(start).alias("host"), F.col(end).alias("to"), "share"
         )
         moves = part if moves is None else moves.unionByName(part)
     moves = materialise(moves, "url-moves")
