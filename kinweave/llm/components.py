@@ -13,9 +13,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates two rewritings of the links: every node hands its larger neighbours to its
     smallest one, then every node's smaller neighbours and itself to the smallest. A node
-    is only ever reduced to its minimum, so no task holds the neighbours of a node, and a
-    node with very many links is split by the join. The links are written after each round;
-    only a count and a checksum reach the driver.
+    is only ever reduced to its minimum, so no task holds the neighbours of a node. The minima
+    are stored before they are joined, so that adaptive execution can split a node with very
+    many links. The links are written after each round; only a count and a checksum reach the
+    driver.
     """
     low, high = F.least(a, b).alias("low"), F.greatest(a, b).alias("high")
     edges = materialise(links.select(low, high).filter("low < high").distinct(), "links")
@@ -31,6 +32,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             edges.select(F.col("low").alias("u"), F.col("high").alias("v"))
         )
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        least = materialise(least, "minima")
         larger = (
             both.join(least, "u")
             .filter("v > u")
@@ -38,7 +40,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct()
         )
         larger = materialise(larger, "links")
-        roots = larger.groupBy("high").agg(F.min("low").alias("m"))
+        roots = materialise(larger.groupBy("high").agg(F.min("low").alias("m")), "minima")
         handed = larger.join(roots, "high").filter("low <> m")
         edges = materialise(
             handed.select(F.col("m").alias("low"), F.col("low").alias("high"))

@@ -75,10 +75,11 @@ def lists(parts: list[np.ndarray]) -> pa.ListArray:
 def repeated(entries: DataFrame, key: list[str]) -> DataFrame:
     """The entries whose key occurs more than once.
 
-    Counts are combined before they are shuffled, and the join may split a common key.
+    Counts are combined before they are shuffled, and stored before the join: that makes it a
+    join of two plain shuffles, in which adaptive execution can split a common key.
     """
     often = entries.groupBy(*key).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
-    return entries.join(often.drop("_times"), key)
+    return entries.join(materialise(often.drop("_times"), "repeated"), key)
 
 
 def one_per_key(df: DataFrame) -> DataFrame:
