@@ -89,7 +89,8 @@ def source_table(
 def _places(rows: DataFrame) -> DataFrame:
     """Add ``_start``, each document's first word in its source's stream.
 
-    The stream is in the order of a hash of the id. Its leading bits cut a source into
+    The stream is in the order of a hash of the id; rows of one id, and those without any, come
+    by a hash of their content, so only equal rows depend on how files are split. Its leading bits cut a source into
     parts that are summed in parallel, so a source with a third of all rows is spread too.
     """
     n = rows.count()
@@ -107,14 +108,14 @@ def _places(rows: DataFrame) -> DataFrame:
     )
     inner = (
         Window.partitionBy("_sid", "_part")
-        .orderBy("_order", "_row")
+        .orderBy("_order", "_tie", "_row")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         cut.withColumn("_upto", F.sum("_size").over(inner) - F.col("_size"))
         .join(base, ["_sid", "_part"])
         .withColumn("_start", F.col("_base") + F.col("_upto"))
-        .drop("_part", "_base", "_upto", "_order")
+        .drop("_part", "_base", "_upto", "_order", "_tie")
     )
 
 
@@ -259,20 +260,21 @@ def mix_sources(
             F.col(id_col).alias("_id"),
             F.col(source_col).alias("_of"),
             word_count(F.col(text_col)).alias("_size"),
+            F.xxhash64(id_col, source_col, text_col).alias("_tie"),
             *document,
         ).withColumn("_row", F.monotonically_increasing_id()),
         "mix-rows",
     )
     sources = source_table(numbered, "_of", weights, most, block_words)
-    order = F.when(F.col("_id").isNull(), F.xxhash64("_row")).otherwise(F.xxhash64("_id"))
+    order = F.when(F.col("_id").isNull(), F.col("_tie")).otherwise(F.xxhash64("_id"))
     by_source = sources.select(F.col("_of").alias("_name"), "_sid")
-    narrow = numbered.select("_of", "_row", "_size", order.alias("_order"))
+    narrow = numbered.select("_of", "_row", "_size", "_tie", order.alias("_order"))
     placed = _places(
         narrow.join(by_source, F.col("_of").eqNullSafe(F.col("_name"))).drop("_of", "_name")
     )
-    return Mix(
-        numbered.drop("_size").join(placed, "_row"), sources, _slots(sources, seed), block_words
-    )
+    # Both are read more than once, and short plans keep the driver's memory free.
+    placed, slots = materialise(placed, "mix-places"), materialise(_slots(sources, seed), "mix-slots")
+    return Mix(numbered.drop("_size", "_tie").join(placed, "_row"), sources, slots, block_words)
 
 
 def taken_pieces(mix: Mix) -> DataFrame:
