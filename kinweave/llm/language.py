@@ -4,24 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinweave.session import materialise
+
 UNKNOWN = "und"
-# Bounds of the training sample: documents of a language, documents in all, and the
-# characters of one stretch from a pseudorandom place of each.
+# Bound of the training sample: documents of a language that are expected to be in it, each
+# with its whole text. Nothing else is left out.
 DOCS_PER_LANGUAGE = 600
-TRAIN_DOCS = 6000
-TRAIN_CHARS = 1200
-# Training sequences are stitched from stretches of documents of random languages.
-SEQUENCES, LENGTH, STRETCH = 4000, 32, 12
-EPOCHS, RATE, DECAY = 40, 0.3, 1e-5
-LEXICON_WORDS = 300
+# A training text is dealt out in pieces of about so many characters.
+PIECE = 2000
+# Shards that learn side by side, and how often their weights are brought together.
+SHARDS, ROUNDS = 8, 3
+# Sequences are stitched from stretches of pieces of any language; words of one update.
+LENGTH, STRETCH, GROUP_WORDS = 32, 12, 1024
+RATE, DECAY = 0.3, 1e-5
 BUCKETS = 1 << 16
+# Slots of the lexicon: every word has one.
+LEXICON = 1 << 16
 SEED = 7
 # Words side by side in a block of the chain.
 BLOCK = 64
@@ -56,13 +63,15 @@ def _inverse(odd: int) -> int:
     return pow(odd, -1, 1 << 64)
 
 
-def _word_codes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit code of each word, for the lexicon."""
+def _lexicon(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The slot of each word in the lexicon, behind the buckets."""
     base = int(WORD_BASE)
     powers = np.cumprod(np.full(len(buf), WORD_BASE, dtype=np.uint64))
     back = np.cumprod(np.full(len(buf), np.uint64(_inverse(base)), dtype=np.uint64))
     sums = np.cumsum(buf.astype(np.uint64) * powers)
-    return (sums[ends - 1] - sums[starts - 1]) * back[starts]
+    codes = (sums[ends - 1] - sums[starts - 1]) * back[starts]
+    slots = (codes * WORD_BASE) >> np.uint64(64 - LEXICON.bit_length() + 1)
+    return slots.astype(np.int64) + BUCKETS
 
 
 def _grams(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -90,12 +99,10 @@ def _affixes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.n
 
 @dataclass
 class Field:
-    """The model: labels, feature weights, lexicon (sorted word codes and weights), transitions."""
+    """The model: labels, weights of the buckets and of the lexicon's slots, transitions."""
 
     labels: list[str]
     weights: np.ndarray
-    lexicon: np.ndarray
-    lexicon_weights: np.ndarray
     transitions: np.ndarray
 
     def emissions(self, buf: np.ndarray) -> np.ndarray:
@@ -115,10 +122,7 @@ class Field:
                 score = np.add.reduceat(rows, first, axis=0)
                 for bucket in _affixes(part, starts, ends):
                     score += self.weights[bucket]
-                codes = _word_codes(part, starts, ends)
-                place = np.minimum(np.searchsorted(self.lexicon, codes), len(self.lexicon) - 1)
-                known = np.flatnonzero(self.lexicon[place] == codes)
-                score[known] += self.lexicon_weights[place[known]]
+                score += self.weights[_lexicon(part, starts, ends)]
                 found.append(score)
             at = end
         return np.concatenate(found) if found else np.zeros((0, len(self.labels)), np.float32)
@@ -182,124 +186,204 @@ def marginals(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) ->
     return _scaled(ahead[col, row])
 
 
-def train(rows: list[tuple[str, str]], seed: int = SEED) -> Field | None:
-    """Fit the field to (text, label) stretches; None without any labelled word.
+class Learner:
+    """Learns the field from groups of stitched sequences, by adaptive gradient steps.
 
-    All words of a stretch have its document's label. Sequences stitched from stretches of
-    several languages teach the transitions what a change of language looks like.
+    All words of a piece have its document's label; a label's words weigh by how rare they
+    are in the sample. Sequences stitched from stretches of several languages teach the
+    transitions what a change of language looks like.
     """
-    rng = np.random.default_rng(seed)
-    by_label: dict[str, list[np.ndarray]] = {}
-    for text, label in rows:
-        buf = _buffer(text)
-        if (buf != 32).any():
-            by_label.setdefault(label, []).append(buf)
-    labels = sorted(by_label)
-    if not labels:
-        return None
-    parts, marks = [], []
-    for _ in range(SEQUENCES):
-        have = 0
-        while have < LENGTH:
-            label = int(rng.integers(len(labels)))
-            bufs = by_label[labels[label]]
-            buf = bufs[int(rng.integers(len(bufs)))]
+
+    def __init__(self, weights: np.ndarray, transitions: np.ndarray, share: np.ndarray) -> None:
+        self.weights, self.transitions, self.share = weights, transitions, share
+        self.squares = np.full(weights.shape, 1e-3, np.float32)
+        self.t_squares = np.full(transitions.shape, 1e-3)
+
+    def learn(self, pieces: Iterator[tuple[int, str]], rng: np.random.Generator) -> None:
+        """Update with all words of (label, piece), in groups of mixed stretches."""
+        stretches, size = [], 0
+        for label, text in pieces:
+            buf = _buffer(text)
             starts, ends = _bounds(buf)
-            n = min(len(starts), int(rng.integers(1, STRETCH + 1)), LENGTH - have)
-            at = int(rng.integers(len(starts) - n + 1))
-            parts += [buf[starts[at] : ends[at + n - 1]], np.array([32], np.uint8)]
-            marks += [label] * n
-            have += n
-    blank = np.array([32, 32, 32], np.uint8)
-    buf = np.concatenate([blank, *parts, blank])
-    starts, ends = _bounds(buf)
-    truth = np.array(marks)
-    n_labels, n_words = len(labels), len(truth)
-
-    codes = _word_codes(buf, starts, ends)
-    lexicon = []
-    for label in range(n_labels):
-        words, count = np.unique(codes[truth == label], return_counts=True)
-        lexicon.append(words[np.argsort(-count, kind="stable")[:LEXICON_WORDS]])
-    lexicon = np.unique(np.concatenate(lexicon))
-    place = np.minimum(np.searchsorted(lexicon, codes), len(lexicon) - 1)
-    known = np.flatnonzero(lexicon[place] == codes)
-
-    three, two, _ = _grams(buf, starts, ends)
-    of_gram = np.repeat(np.arange(n_words), ends - starts)
-    affixes = _affixes(buf, starts, ends)
-    ids = np.concatenate([three, two, *affixes, BUCKETS + place[known]]).astype(np.int64)
-    words = np.concatenate([of_gram, of_gram, *[np.arange(n_words)] * len(affixes), known])
-    order = np.argsort(words, kind="stable")
-    ids, words = ids[order], words[order]
-    first = np.searchsorted(words, np.arange(n_words))
-
-    onehot = np.eye(n_labels)[truth]
-    chain = truth.reshape(SEQUENCES, LENGTH)
-    seen = np.zeros((n_labels, n_labels))
-    np.add.at(seen, (chain[:, :-1].ravel(), chain[:, 1:].ravel()), 1.0)
-    width = BUCKETS + len(lexicon)
-    weights, squares = np.zeros((width, n_labels)), np.full((width, n_labels), 1e-3)
-    transitions, t_squares = np.zeros((n_labels, n_labels)), np.full((n_labels, n_labels), 1e-3)
-    for _ in range(EPOCHS):
-        scores = np.add.reduceat(weights[ids], first, axis=0)
-        like = np.exp(scores - scores.max(axis=1, keepdims=True)).reshape(SEQUENCES, LENGTH, -1)
-        step = np.exp(transitions - transitions.max())
-        alphas = np.empty_like(like)
-        alpha = np.full((SEQUENCES, n_labels), 1.0 / n_labels)
-        for t in range(LENGTH):
+            at = 0
+            while at < len(starts):
+                n = min(int(rng.integers(1, STRETCH + 1)), len(starts) - at)
+                stretches.append((label, n, buf[starts[at] : ends[at + n - 1] + 1]))
+                at += n
+                size += n
+            # The pool is twice a group, so that long pieces mix with what follows.
+            while size >= 2 * GROUP_WORDS:
+                stretches, size = self._group(stretches, GROUP_WORDS, rng)
+        while size:
+            stretches, size = self._group(stretches, min(GROUP_WORDS, size), rng)
+
+    def _group(self, stretches: list, least: int, rng: np.random.Generator) -> tuple[list, int]:
+        """Update with random stretches of at least so many words; the rest is returned."""
+        order = rng.permutation(len(stretches))
+        sizes = np.cumsum([stretches[i][1] for i in order])
+        cut = int(np.searchsorted(sizes, least)) + 1
+        taken = [stretches[i] for i in order[:cut]]
+        blank = np.array([32, 32, 32], np.uint8)
+        buf = np.concatenate([blank, *(part for _, _, part in taken), blank])
+        truth = np.repeat([label for label, _, _ in taken], [n for _, n, _ in taken])
+        whole = len(truth) // LENGTH * LENGTH
+        starts, ends = _bounds(buf)
+        if whole:
+            self._update(buf, starts[:whole], ends[:whole], truth[:whole].reshape(-1, LENGTH))
+        if whole < len(truth):
+            self._update(buf, starts[whole:], ends[whole:], truth[None, whole:])
+        left = [stretches[i] for i in order[cut:]]
+        return left, sum(n for _, n, _ in left)
+
+    def _update(
+        self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, truth: np.ndarray
+    ) -> None:
+        """One step by the gradient over sequences of one length."""
+        n_seq, length = truth.shape
+        n_labels, n_words = len(self.share), truth.size
+        part = np.concatenate([[32, 32], buf[starts[0] : ends[-1]], [32, 32]]).astype(np.uint8)
+        starts, ends = starts - (starts[0] - 2), ends - (starts[0] - 2)
+        three, two, _ = _grams(part, starts, ends)
+        of_gram = np.repeat(np.arange(n_words, dtype=np.int32), ends - starts)
+        single = [*_affixes(part, starts, ends), _lexicon(part, starts, ends)]
+        ids = np.concatenate([three, two, *single]).astype(np.int32)
+        each = np.arange(n_words, dtype=np.int32)
+        words = np.concatenate([of_gram, of_gram, *[each] * len(single)])
+        by_word = np.argsort(words, kind="stable")
+        firsts = np.searchsorted(words[by_word], each)
+        scores = np.add.reduceat(self.weights[ids[by_word]], firsts, axis=0).astype(np.float64)
+
+        like = np.exp(scores - scores.max(axis=1, keepdims=True)).reshape(n_seq, length, n_labels)
+        step = np.exp(self.transitions - self.transitions.max())
+        alphas, betas = np.empty_like(like), np.ones_like(like)
+        alpha = np.full((n_seq, n_labels), 1.0 / n_labels)
+        for t in range(length):
             alphas[:, t] = alpha = _scaled((alpha @ step) * like[:, t])
-        betas = np.ones_like(like)
-        expected = np.zeros_like(seen)
-        for t in range(LENGTH - 2, -1, -1):
+        expected = np.zeros_like(step)
+        for t in range(length - 2, -1, -1):
             onward = like[:, t + 1] * betas[:, t + 1]
-            pair = alphas[:, t, :, None] * step * onward[:, None, :]
-            expected += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            # The pairs of a place sum to one: divide by their total before they are summed.
+            total = np.einsum("si,ij,sj->s", alphas[:, t], step, onward)
+            expected += step * ((alphas[:, t] / total[:, None]).T @ onward)
             betas[:, t] = _scaled(onward @ step.T)
-        gap = (onehot - _scaled(alphas * betas).reshape(n_words, n_labels)) / SEQUENCES
-        grad = np.stack(
-            [np.bincount(ids, gap[words, k], minlength=width) for k in range(n_labels)], axis=1
-        )
-        grad -= DECAY * weights
-        squares += grad**2
-        weights += RATE * grad / np.sqrt(squares)
-        t_grad = (seen - expected) / SEQUENCES
-        t_squares += t_grad**2
-        transitions += RATE * t_grad / np.sqrt(t_squares)
-    return Field(
-        labels,
-        weights[:BUCKETS].astype(np.float32),
-        lexicon,
-        weights[BUCKETS:].astype(np.float32),
-        transitions,
-    )
+        truth = truth.ravel()
+        gap = -_scaled(alphas * betas).reshape(n_words, n_labels)
+        gap[each, truth] += 1.0
+        gap = (gap * (self.share[truth] / n_words)[:, None]).astype(np.float32)
+
+        by_id = np.argsort(ids, kind="stable")
+        rows, at = np.unique(ids[by_id], return_index=True)
+        grad = np.add.reduceat(gap[words[by_id]], at, axis=0) - DECAY * self.weights[rows]
+        self.squares[rows] += grad**2
+        self.weights[rows] += RATE * grad / np.sqrt(self.squares[rows])
+        seen = np.zeros_like(step)
+        chain = truth.reshape(n_seq, length)
+        np.add.at(seen, (chain[:, :-1].ravel(), chain[:, 1:].ravel()), 1.0)
+        t_grad = (seen - expected) / n_words
+        self.t_squares += t_grad**2
+        self.transitions += RATE * t_grad / np.sqrt(self.t_squares)
 
 
 def sample(
     docs: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str
-) -> list[tuple[str, str]]:
-    """The bounded training sample: (stretch of text, label) of rows where ``learn`` holds.
-
-    At most 600 documents of a language and 6,000 in all, in the order of a hash of the id;
-    of each 1,200 characters from a pseudorandom place anywhere in the text.
+) -> tuple[DataFrame, list[str], np.ndarray]:
+    """(_shard, _label, _piece) of the bounded training sample, its labels, and their shares.
+
+    A row is in the sample if a hash of its id and text is low enough for about 600 rows of
+    its language, so no group of a language is gathered or sorted to choose them. Rows that
+    repeat id and text count once. The whole text of each is cut into pieces, which a hash
+    deals to shards in a random order that does not depend on the partitioning. Only numbers
+    per language reach the driver.
     """
     h = F.xxhash64(id_col, text_col)
-    length = F.length(text_col)
-    begin = F.pmod(h, F.greatest(length - TRAIN_CHARS, F.lit(0)) + 1).cast("int") + 1
-    per_label = Window.partitionBy("_label").orderBy("_h", "_text")
-    picked = (
-        docs.filter(learn & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(
-            F.col(label_col).alias("_label"),
-            h.alias("_h"),
-            F.substring(F.col(text_col), begin, F.lit(TRAIN_CHARS)).alias("_text"),
-        )
-        .withColumn("_nth", F.row_number().over(per_label))
-        .filter(F.col("_nth") <= DOCS_PER_LANGUAGE)
-        .orderBy("_nth", "_label")
-        .limit(TRAIN_DOCS)
+    known = docs.filter(
+        learn & F.col(label_col).isNotNull() & F.col(text_col).isNotNull()
+    ).select(F.col(label_col).alias("_label"), h.alias("_h"), F.col(text_col).alias("_text"))
+    counts = dict(known.groupBy("_label").agg(F.count(F.lit(1))).collect())
+    if not counts:
+        return known, [], np.zeros(0)
+    place = F.lit(None).cast("double")
+    for label, n in sorted(counts.items()):
+        most = min(1.0, DOCS_PER_LANGUAGE / n)
+        place = F.when(F.col("_label") == label, F.lit(most)).otherwise(place)
+    low = F.shiftrightunsigned("_h", 11) / F.lit(float(1 << 53)) < place
+    cut = r"(?s).{1,%d}(?:\s|$)|.{1,%d}" % (PIECE, PIECE)
+    pieces = (
+        known.filter(low)
+        .dropDuplicates(["_label", "_h"])
+        .select("_label", "_h", F.posexplode(F.regexp_extract_all("_text", F.lit(cut), F.lit(0))))
+        .withColumn("_order", F.xxhash64("_h", "pos"))
+        .withColumn("_shard", F.pmod("_order", F.lit(SHARDS)).cast("int"))
+    )
+    pieces = materialise(
+        pieces.repartitionByRange(SHARDS, "_shard")
+        .sortWithinPartitions("_shard", "_order", "_label", "col")
+        .select("_shard", "_label", F.col("col").alias("_piece")),
+        "language-sample",
     )
-    return [(r["_text"], r["_label"]) for r in picked.select("_text", "_label", "_nth").collect()]
+    # Letters tell how much of a label there is to learn from; a label without any is none.
+    letters = F.sum(F.length(F.regexp_replace("_piece", r"[\x00-\x60\x7B-\x7F]", "")))
+    size = {r[0]: r[1] for r in pieces.groupBy("_label").agg(letters).collect() if r[1]}
+    labels = sorted(size)
+    amount = np.array([size[label] for label in labels], dtype=float)
+    return pieces, labels, amount.sum() / (len(labels) * amount) if labels else amount
+
+
+def train(pieces: DataFrame, labels: list[str], share: np.ndarray) -> Field | None:
+    """Fit the field to the sample; None without any labelled word.
+
+    Each shard learns from its pieces in one task, beginning with the weights that all have
+    learned together. A round's change of a weight is the mean over the shards that changed
+    it. The driver holds two sets of weights, 512 KB a label each, and one shard's changes.
+    """
+    if not labels:
+        return None
+    n_labels = len(labels)
+    spark = pieces.sparkSession
+    weights = np.zeros((BUCKETS + LEXICON, n_labels), np.float32)
+    transitions = np.zeros((n_labels, n_labels))
+    number = {label: k for k, label in enumerate(labels)}
+    schema = "_shard int, _rows binary, _change binary, _steps binary"
+    for turn in range(ROUNDS):
+        shared = spark.sparkContext.broadcast((weights, transitions))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = (
+                (shard, number[label], piece)
+                for batch in batches
+                for shard, label, piece in zip(*(c.to_pylist() for c in batch.columns))
+                if label in number
+            )
+            for shard, group in groupby(rows, key=itemgetter(0)):
+                begin, moves = shared.value
+                learner = Learner(begin.copy(), moves.copy(), share)
+                rng = np.random.default_rng([SEED, turn, shard])
+                learner.learn(((label, piece) for _, label, piece in group), rng)
+                changed = np.flatnonzero((learner.weights != begin).any(axis=1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([shard], pa.int32()),
+                        pa.array([changed.tobytes()], pa.binary()),
+                        pa.array([(learner.weights[changed] - begin[changed]).tobytes()], pa.binary()),
+                        pa.array([(learner.transitions - moves).tobytes()], pa.binary()),
+                    ],
+                    names=["_shard", "_rows", "_change", "_steps"],
+                )
+
+        # A row for each shard, read one partition at a time in the order of the shards.
+        found = pieces.mapInArrow(run, schema)
+        change, times = np.zeros_like(weights), np.zeros(len(weights), np.float32)
+        steps, shards = np.zeros_like(transitions), 0
+        for row in found.orderBy("_shard").toLocalIterator():
+            rows = np.frombuffer(row["_rows"], np.int32)
+            change[rows] += np.frombuffer(row["_change"], np.float32).reshape(-1, n_labels)
+            times[rows] += 1
+            steps += np.frombuffer(row["_steps"]).reshape(n_labels, n_labels)
+            shards += 1
+        weights += change / np.maximum(times, 1)[:, None]
+        transitions += steps / max(shards, 1)
+        shared.destroy()
+    return Field(labels, weights, transitions)
 
 
 def predict(texts: list[str | None], field: Field | None) -> tuple[list[str], list[float]]:
@@ -335,15 +419,17 @@ def label_languages(
 ) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every row, with the columns of ``keep`` or all.
 
-    The model learns from a bounded sample of the rows where ``learn`` holds and the label is
-    not NULL, and reads nothing but the text of a row to label it. Every word of the whole
+    The model learns from the whole texts of a sample of the rows where ``learn`` holds and the
+    label is not NULL, about 600 of each label, and reads nothing but the text of a row to
+    label it. It is sent to every task: 512 KB for each label. Every word of the whole
     text is labelled; the text has the label with most of it. A text that is NULL or has no
     letter is ``und`` with score 0, and so is every text if there was nothing to learn from.
     Repeated rows are labelled alike; columns of the two names in the input are replaced; an
     empty input gives no rows.
     """
     docs = docs.drop("lang_pred", "score")
-    field = train(sample(docs, learn, id_col, text_col, label_col))
+    field = train(*sample(docs, learn, id_col, text_col, label_col))
+    shared = docs.sparkSession.sparkContext.broadcast(field)
     keep = docs.columns if keep is None else keep
     schema = T.StructType(
         [
@@ -360,7 +446,7 @@ def label_languages(
             for end, text in enumerate(texts, 1):
                 size += len(text or "")
                 if size > batch_chars or end == len(texts):
-                    more = predict(texts[begin:end], field)
+                    more = predict(texts[begin:end], shared.value)
                     labels += more[0]
                     scores += more[1]
                     begin, size = end, 0

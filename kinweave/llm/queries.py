@@ -87,7 +87,7 @@ def _op2_sql() -> str:
 ), m AS (
   SELECT 't' AS kind, src AS host, dst AS goal, n / sum(n) OVER (PARTITION BY src) AS share FROM l
   UNION ALL
-  SELECT 'd', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM l
+  SELECT 'd', dst, src, n / sum(n) OVER (PARTITION BY src) FROM l
 ), h AS (
   SELECT host, avg(coalesce((ruled = 'allow')::DOUBLE, 0)) AS t,
          avg(coalesce((ruled = 'block')::DOUBLE, 0)) AS d FROM v WHERE host <> '' GROUP BY host
@@ -134,7 +134,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _remainder(divisor: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+    """Of the crc32 of the id as text; 0 for a NULL id, so such a row is not held out."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(divisor)), F.lit(0))
 
 
 @query("op7_language_id")
@@ -333,8 +335,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op11_sql() -> str:
-    def mentions(words: str) -> str:
-        return f"regexp_matches(near, '(?i)(^|[^A-Za-z])({words})([^A-Za-z]|$)')"
+    def mentions(place: str, words: str) -> str:
+        return f"regexp_matches({place}, '(?i)(^|[^A-Za-z])({words})([^A-Za-z]|$)')"
 
     digits = "regexp_replace(hit, '[^0-9]', '', 'g')"
     turned = "substr(replace(hit, ' ', ''), 5) || left(replace(hit, ' ', ''), 4)"
@@ -360,8 +362,8 @@ def _op11_sql() -> str:
     for rank, kind in enumerate(personal.KINDS):
         least = "true" if kind.base else f"score >= {personal.THRESHOLD}"
         parts.append(f"""SELECT n, {rank} AS rank, '{kind.name}' AS kind, start, start + length(hit) AS stop
-  FROM (SELECT *, {kind.prior} + CASE WHEN {mentions(kind.favour)} THEN {personal.FAVOUR} ELSE 0 END
-           - CASE WHEN {mentions(kind.against)} THEN {personal.AGAINST} ELSE 0 END AS score
+  FROM (SELECT *, {kind.prior} + CASE WHEN {mentions('near', kind.favour)} THEN {personal.FAVOUR} ELSE 0 END
+           - CASE WHEN {mentions('before', kind.against)} THEN {personal.AGAINST} ELSE 0 END AS score
     FROM (SELECT *, before || ' ' || after AS near
       FROM (SELECT n, hit, start,
           CASE WHEN i > 1 AND gap = '' THEN '0' ELSE right(gap, {personal.BEFORE}) END AS before,
