@@ -87,7 +87,7 @@ def tuples(df):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return con
 
@@ -340,16 +340,16 @@ def test_spread_equals_plain_iteration(spark):
         spark.createDataFrame(links, "src string, dst string, links long"),
         steps=7,
     )
-    out, into = {}, {}
-    for s, d, n in links:
-        out[s], into[d] = out.get(s, 0) + n, into.get(d, 0) + n
+    out = {}
+    for s, _, n in links:
+        out[s] = out.get(s, 0) + n
     start_t, start_d = {"a": 0.15}, {"b": 0.15}
     trust, distrust = dict(start_t), dict(start_d)
     for _ in range(7):
         next_t, next_d = dict(start_t), dict(start_d)
         for s, d, n in links:
             next_t[d] = next_t.get(d, 0) + 0.85 * trust.get(s, 0) * n / out[s]
-            next_d[s] = next_d.get(s, 0) + 0.85 * distrust.get(d, 0) * n / into[d]
+            next_d[s] = next_d.get(s, 0) + 0.85 * distrust.get(d, 0) * n / out[s]
         trust, distrust = next_t, next_d
     for r in found.collect():
         assert r.trust == pytest.approx(trust.get(r.host, 0))

@@ -3,6 +3,7 @@
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -163,9 +164,11 @@ def test_marginals_equal_plain_forward_backward():
         at += n
 
 
-def test_language_field_learns_switches():
-    rows = [("the cat and the dog " * 20, "en"), ("le chat et la souris " * 20, "fr")]
-    field = language.train(rows)
+def test_language_field_learns_switches(spark):
+    rows = [("the cat and the dog " * 20, "en"), ("le chat et la souris " * 20, "fr"), ("12", "no")]
+    docs = spark.createDataFrame(rows, "text string, lang string").withColumn("id", F.lit(1))
+    field = language.train(*language.sample(docs, F.lit(True), "id", "text", "lang"))
+    assert field.labels == ["en", "fr"]  # a label without a letter is not learned
     labels, scores = language.predict(["the dog", "la souris et", None, "", "123 !?", "☃"], field)
     assert labels == ["en", "fr", "und", "und", "und", "und"]
     assert all(0 <= s <= 1 for s in scores) and scores[2] == 0
@@ -173,10 +176,44 @@ def test_language_field_learns_switches():
     assert mixed == ["en"]
     long = "the dog " * 200_000
     assert language.predict([long], field)[0] == ["en"]
-    assert language.train([]) is None
+    assert language.train(*language.sample(docs.limit(0), F.lit(True), "id", "text", "lang")) is None
     assert language.predict(["text"], None) == (["und"], [0.0])
 
 
+def test_language_update_follows_the_slope():
+    """One update moves every weight by the sign of the likelihood's slope, by finite steps."""
+    rng = np.random.default_rng(2)
+    buf = language._buffer("the cat le chat and et dog la souris the dog")
+    starts, ends = language._bounds(buf)
+    truth = np.array([[0, 0, 1, 1, 0, 1, 0, 1, 1, 0, 0]])
+    weights = rng.normal(size=(language.BUCKETS + language.LEXICON, 2)) * 0.1
+    moves = rng.normal(size=(2, 2))
+
+    def loss(weights, moves):
+        field = language.Field(["a", "b"], weights, moves)
+        scores = field.emissions(buf)
+        gold = scores[np.arange(11), truth[0]].sum() + moves[truth[0][:-1], truth[0][1:]].sum()
+        ahead = scores[0]
+        for row in scores[1:]:
+            ahead = np.logaddexp.reduce(ahead[:, None] + moves, axis=0) + row
+        return np.logaddexp.reduce(ahead) - gold
+
+    learner = language.Learner(weights.copy(), moves.copy(), np.ones(2))
+    learner._update(buf, starts, ends, truth)
+    step = learner.weights - weights
+    spots = np.argwhere(np.abs(step) > 0.02)
+    assert len(spots) > 20
+    for spot in map(tuple, spots[:: len(spots) // 20]):
+        nudged = weights.copy()
+        nudged[spot] += 1e-4
+        assert np.sign(loss(weights, moves) - loss(nudged, moves)) == np.sign(step[spot])
+    for spot in np.ndindex(2, 2):
+        nudged = moves.copy()
+        nudged[spot] += 1e-4
+        change = learner.transitions[spot] - moves[spot]
+        assert np.sign(loss(weights, moves) - loss(weights, nudged)) == np.sign(change)
+
+
 def test_chunks_cover_the_text():
     for n in (0, 1, 255, 256, 257, 448, 449, 5000):
         text = bytes(1 + i % 250 for i in range(n))
