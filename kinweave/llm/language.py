@@ -9,6 +9,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,7 @@ LEXICON = 1 << 16
 SEED = 7
 # Words side by side in a block of the chain.
 BLOCK = 64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 MIX = np.uint32(2654435761)
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -414,7 +415,7 @@ def label_languages(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "lang",
-    batch_chars: int = 1 << 21,
+    batch_bytes: int = 1 << 19,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every row, with the columns of ``keep`` or all.
@@ -439,20 +440,27 @@ def label_languages(
         ]
     )
 
+    # The text travels once, whether it is kept or not.
+    names = keep if text_col in keep else [*keep, text_col]
+    at = names.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            labels, scores, begin, size = [], [], 0, 0
-            for end, text in enumerate(texts, 1):
-                size += len(text or "")
-                if size > batch_chars or end == len(texts):
-                    more = predict(texts[begin:end], shared.value)
-                    labels += more[0]
-                    scores += more[1]
-                    begin, size = end, 0
+            column = batch.column(at)
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            labels, scores, begin = [], [], 0
+            while begin < len(column):
+                # As many texts as fit, and one at least.
+                before = ends[begin] - sizes[begin]
+                end = max(begin + 1, int(np.searchsorted(ends, before + batch_bytes, "right")))
+                more = predict(column.slice(begin, end - begin).to_pylist(), shared.value)
+                labels += more[0]
+                scores += more[1]
+                begin = end
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 names=schema.names,
             )
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(run, schema)
