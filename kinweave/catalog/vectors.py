@@ -11,6 +11,7 @@ from kinweave.catalog.shapes import table
 from kinweave.catalog.sql import build, gram_views
 from kinweave.functions.checks import vector_ok
 from kinweave.operators.approximate import approximate_topk, build_vector_index
+from kinweave.operators.inverted import build_inverted_index, inverted_topk, query_inverted
 from kinweave.operators.embed import DIM, embed, embed_rows, ngram_counts, ngram_vectors
 from kinweave.operators.keyed import keyed_source
 from kinweave.operators.neighbours import query_index, similar_edges, topk_similarity
@@ -145,6 +146,89 @@ def h5(spark, d):
     return rounded(approximate_topk(rows, index, 3, exclude_self=True))
 
 
+# Ids of planted copies begin here.
+COPY = 1_000_000_000
+
+
+def with_copies(rows, factor=1.0):
+    """The vectors and a copy of each, scaled, under another id."""
+    scaled = F.transform("vector", lambda x: (x * F.lit(factor)).cast("float"))
+    copies = rows.select((F.col("id") + COPY).alias("id"), scaled.alias("vector"), "label")
+    return rows.unionByName(copies)
+
+
+def copies_sql(metrics: dict[str, float]) -> str:
+    """The nearest row of each vector among all others and the planted copies."""
+    score = {
+        "cosine": "list_cosine_similarity(a.e, b.e)",
+        "l2": "1 - list_distance(a.e, b.e)",
+        "dot": "list_inner_product(a.e, b.e)",
+    }
+    parts = [
+        f"""SELECT '{metric}' AS metric, source_id, target_id, round(sc, 6) AS score FROM (
+              SELECT a.vec_id AS source_id, b.vec_id AS target_id, {score[metric]} AS sc,
+                     row_number() OVER (PARTITION BY a.vec_id
+                                        ORDER BY round({score[metric]}, 9) DESC, b.vec_id) AS rk
+              FROM vec a JOIN (
+                SELECT vec_id, e FROM vec UNION ALL
+                SELECT vec_id + {COPY}, list_transform(e, lambda x: (x * {factor})::FLOAT::DOUBLE) FROM vec
+              ) b ON a.vec_id <> b.vec_id) WHERE rk = 1"""
+        for metric, factor in metrics.items()
+    ]
+    return " UNION ALL ".join(parts)
+
+
+METRIC_COPIES = {"cosine": 3.0, "l2": 1.0, "dot": 2.0}
+
+
+@query("h5_planted_copies", build(copies_sql(METRIC_COPIES)))
+def h5_copies(spark, d):
+    """The approximate search of each metric finds the copy of every vector."""
+    rows, out = vec(spark, d), None
+    for metric, factor in METRIC_COPIES.items():
+        index = build_vector_index(with_copies(rows, factor), metric=metric)
+        near = rounded(approximate_topk(rows, index, 1, exclude_self=True))
+        near = near.select(F.lit(metric).alias("metric"), "source_id", "target_id", "score")
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
+@query("h5_inverted_copies", build(copies_sql({"cosine": 3.0, "l2": 1.0})))
+def h5_inverted(spark, d):
+    """The same through the inverted file."""
+    rows, out = vec(spark, d), None
+    for metric, factor in (("cosine", 3.0), ("l2", 1.0)):
+        index = build_inverted_index(with_copies(rows, factor), metric=metric)
+        near = rounded(inverted_topk(rows, index, 1, exclude_self=True))
+        near = near.select(F.lit(metric).alias("metric"), "source_id", "target_id", "score")
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
+@query(
+    "h6_indexed_query",
+    build(f"""SELECT vec_id AS id, label, round(1 - sc, 6) AS distance FROM (
+                 SELECT b.vec_id, b.label, round(list_cosine_similarity(a.e, b.e), 9) AS sc
+                 FROM (SELECT vec_id, label, e FROM vec UNION ALL
+                       SELECT vec_id + n * {COPY}, label,
+                              list_transform(e, lambda x: (x * n)::FLOAT::DOUBLE)
+                       FROM vec, range(1, 5) AS t(n)) b,
+                      (SELECT e FROM vec ORDER BY vec_id LIMIT 1) a)
+             ORDER BY 1 - sc, vec_id LIMIT 5"""),
+)
+def h6_indexed(spark, d):
+    """One vector against the partitions of its nearest cells; copies of it are all there is near."""
+    rows = vec(spark, d)
+    whole = rows
+    for n in range(1, 5):
+        scaled = F.transform("vector", lambda x: (x * F.lit(float(n))).cast("float"))
+        whole = whole.unionByName(rows.select((F.col("id") + n * COPY).alias("id"), scaled.alias("vector"), "label"))
+    index = build_inverted_index(whole, payload=["label"])
+    first = rows.orderBy("id").select("vector").first()
+    near = query_inverted(index, list(first[0]), 5, columns=["id", "label"])
+    return near.withColumn("distance", F.round("distance", 6))
+
+
 @query(
     "h6_single_query",
     build("""SELECT vec_id AS id, label, round(1 - sc, 6) AS distance FROM (

@@ -1,70 +1,151 @@
-"""Approximate nearest neighbours through sign-random-projection signatures."""
+"""Approximate nearest neighbours through signatures that are stored in blocks."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.functions.checks import vector_ok
-from kinweave.functions.vectors import matrix, nearest, unit
-from kinweave.operators.numbering import partition_offsets
-from kinweave.session import materialise
+from kinweave.functions.vectors import METRICS, as_points, matrix, nearest, prepare, unit
+from kinweave.operators.inverted import largest_norm
+from kinweave.operators.keys import top_k_per_group
+from kinweave.operators.neighbours import score_groups
+from kinweave.operators.numbering import assign_index
+from kinweave.session import materialise, shared_path
 
 # What is stored with an index.
-SETTINGS = "tables int, bits int, seed long"
+SETTINGS = (
+    "tables int, bits int, seed long, metric string, radius double, mean array<double>, "
+    "spread double, blocks long, n long"
+)
+BLOCK_ROWS = 512
+# Blocks of all tables, whose bounds every task holds: 16 bytes each.
+MOST_BLOCKS = 1 << 20
+# Left rows and their bytes that are sent to the index instead of meeting it in a shuffle, and
+# the candidates they may have for that.
+SMALL_ROWS, SMALL_BYTES, SMALL_CANDIDATES = 4096, 32 << 20, 1 << 20
+# Projections whose digits make up a signature for l2, and how many deviations they reach.
+PROJECTIONS, REACH = 6, 4.0
 
 
 @dataclass(frozen=True)
-class VectorIndex:
-    """``rows`` holds id, vector and one signature per projection table."""
+class Signer:
+    """How vectors get their signatures.
+
+    Cosine: the signs of random projections. Dot product: the same after the stored vectors are
+    lifted to one sphere, where a larger product is a smaller angle. l2: stable projections,
+    cut into equal steps, whose digits are interleaved, so that vectors near each other agree
+    in the leading digits of most projections.
+    """
 
-    rows: DataFrame
     tables: int
     bits: int
     seed: int
+    metric: str
+    radius: float = 0.0
+    mean: tuple[float, ...] = ()
+    spread: float = 0.0
 
+    def _planes(self, dim: int, table: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        # Each table has its own generator: adding tables leaves the earlier ones as they are.
+        rng = np.random.default_rng([self.seed, table])
+        return rng.standard_normal((dim, n)), rng.random(n)
 
-def _planes(dim: int, table: int, bits: int, seed: int) -> np.ndarray:
-    # Each table has its own generator: adding tables leaves the earlier ones as they are.
-    return np.random.default_rng([seed, table]).standard_normal((dim, bits))
+    def signatures(self, vectors: np.ndarray, side: str) -> np.ndarray:
+        """One row of signatures, one for each table, for each vector."""
+        if self.metric == "l2":
+            return self._interleaved(vectors - np.asarray(self.mean))
+        points = unit(vectors) if self.metric == "cosine" else as_points(vectors, "dot", side, self.radius)
+        weights = 1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64)
+        columns = []
+        for table in range(self.tables):
+            planes, _ = self._planes(points.shape[1], table, self.bits)
+            columns.append((np.round(points @ planes, 9) >= 0) @ weights)
+        return np.column_stack(columns)
 
+    def _interleaved(self, vectors: np.ndarray) -> np.ndarray:
+        digits = max(1, self.bits // PROJECTIONS)
+        most = 1 << digits
+        width = 2 * REACH * self.spread / most or 1.0
+        columns = []
+        for table in range(self.tables):
+            planes, shift = self._planes(vectors.shape[1], table, PROJECTIONS)
+            steps = np.floor(np.round(vectors @ planes, 9) / width + shift).astype(np.int64) + most // 2
+            steps = np.clip(steps, 0, most - 1)
+            code = np.zeros(len(vectors), np.int64)
+            for digit in range(digits - 1, -1, -1):
+                for j in range(PROJECTIONS):
+                    code = (code << 1) | ((steps[:, j] >> digit) & 1)
+            columns.append(code)
+        return np.column_stack(columns)
 
-def _signed(
-    df: DataFrame, id_col: str, vector: str, tables: int, bits: int, seed: int
-) -> DataFrame:
-    rows = df.filter(vector_ok(F.col(vector))).select(
-        F.col(id_col).alias("id"), F.col(vector).alias("vector")
-    )
+
+@dataclass(frozen=True)
+class VectorIndex:
+    """``rows`` has (id, vector). ``entries`` has (block, id) in the order of the signatures of
+    each table, cut into blocks; ``bounds`` the first signature and size of each block. A block
+    number is table * ``blocks`` + place."""
+
+    rows: DataFrame
+    entries: DataFrame
+    bounds: DataFrame
+    signer: Signer
+    blocks: int
+    n: int
+
+
+def _moments(rows: DataFrame, dim: int) -> tuple[tuple[float, ...], float]:
+    """Mean vector, and the root of the mean squared distance to it."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, n = np.zeros(dim + 1), 0
+        for batch in batches:
+            vectors = matrix(batch.column(0))
+            if len(vectors):
+                sums[:dim] += vectors.sum(axis=0)
+                sums[dim] += (vectors * vectors).sum()
+                n += len(vectors)
+        places = np.arange(dim + 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(places), pa.array(sums), pa.array(np.full(dim + 1, n))], names=["place", "total", "n"]
+        )
+
+    parts = rows.select("vector").mapInArrow(total, "place long, total double, n long")
+    found = parts.groupBy("place").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    # Rounded, so that another order of summing does not move a vector to another step.
+    means = [float(np.format_float_positional(r["total"] / r["n"], 9, fractional=False))
+             for r in found.orderBy("place").collect()]
+    mean = np.asarray(means[:dim])
+    spread = np.sqrt(max(0.0, means[dim] - float((mean * mean).sum())))
+    return tuple(means[:dim]), float(np.round(spread, 9))
+
+
+def _signed(rows: DataFrame, signer: Signer) -> DataFrame:
+    """(id, signatures) of the stored rows."""
     schema = T.StructType(
-        rows.schema.fields + [T.StructField("signatures", T.ArrayType(T.LongType()))]
+        [rows.schema["id"], T.StructField("signatures", T.ArrayType(T.LongType()))]
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            vectors = unit(matrix(batch.column(1)))
-            columns = []
-            for table in range(tables):
-                planes = _planes(vectors.shape[1], table, bits, seed)
-                columns.append((np.round(vectors @ planes, 9) >= 0) @ weights)
-            codes = np.column_stack(columns)
-            offsets = pa.array(np.arange(len(codes) + 1, dtype=np.int32) * tables)
+            codes = signer.signatures(matrix(batch.column(1)), "right")
+            ends = pa.array(np.arange(len(codes) + 1, dtype=np.int32) * signer.tables)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))],
-                names=schema.fieldNames(),
+                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(codes.ravel()))],
+                names=schema.names,
             )
 
-    return rows.mapInArrow(sign, schema)
+    return rows.select("id", "vector").mapInArrow(sign, schema)
 
 
 def build_vector_index(
@@ -72,31 +153,105 @@ def build_vector_index(
     *,
     id_col: str = "id",
     vector: str = "vector",
+    metric: str = "cosine",
     tables: int = 8,
     bits: int = 48,
     seed: int = 0,
+    block_rows: int = BLOCK_ROWS,
+    dim: int | None = None,
     path: str | None = None,
 ) -> VectorIndex:
     """Sign every vector against ``tables`` sets of random planes and store the result.
 
-    Needs no training and no shuffle, so it is a linear pass over the data.
+    The ids of each table are stored in signature order and cut into blocks of ``block_rows``
+    (more, if there would be more than a million blocks), so the order is made once and not by
+    each search. A signature shared by very many rows is spread over blocks by a hash of the
+    id. Ids are unique. Vectors with a NULL, NaN or infinite element, or of another length than
+    ``dim``, are left out.
     """
     if not 1 <= bits <= 62:
         raise ValueError("bits must be between 1 and 62")
-    rows = _signed(df, id_col, vector, tables, bits, seed)
-    if path is None:
-        return VectorIndex(materialise(rows, "index"), tables, bits, seed)
-    spark = df.sparkSession
-    rows.write.mode("overwrite").parquet(f"{path}/rows")
-    settings = spark.createDataFrame([(tables, bits, seed)], SETTINGS)
-    settings.coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
-    return open_vector_index(spark, path)
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    spark, target = df.sparkSession, path or shared_path(df.sparkSession, "index")
+    good = df.filter(vector_ok(F.col(vector), dim)).select(
+        F.col(id_col).alias("id"), F.col(vector).alias("vector")
+    )
+    good.write.mode("overwrite").parquet(f"{target}/rows")
+    rows = spark.read.schema(good.schema).parquet(f"{target}/rows")
+    n, longest = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    radius, mean, spread = 0.0, (), 0.0
+    if n and metric == "dot":
+        radius = largest_norm(rows)
+    if n and metric == "l2":
+        mean, spread = _moments(rows, longest)
+    signer = Signer(tables, bits, seed, metric, radius, mean, spread)
+    per_table = max(1, min(-(-n // block_rows), MOST_BLOCKS // tables))
+    size = max(1, -(-n // per_table))
+    entries = _signed(rows, signer).select("id", F.posexplode("signatures").alias("_table", "_sig"))
+    order = ["_table", "_sig", "_tie", "id"]
+    ordered = assign_index(entries.withColumn("_tie", F.xxhash64("id")), order, "_at")
+    # Each table has every row once, so a place in all tells the place in its table.
+    place = F.col("_at") - 1 - F.col("_table") * n
+    block = F.col("_table") * F.lit(per_table) + F.floor(place / size)
+    stored = ordered.select(block.cast("long").alias("block"), "_sig", "id")
+    stored.write.mode("overwrite").parquet(f"{target}/entries")
+    written = spark.read.schema(stored.schema).parquet(f"{target}/entries")
+    bounds = written.groupBy("block").agg(F.min("_sig").alias("first"), F.count(F.lit(1)).alias("n"))
+    bounds.write.mode("overwrite").parquet(f"{target}/bounds")
+    settings = [(tables, bits, seed, metric, radius, list(mean), spread, per_table, n)]
+    spark.createDataFrame(settings, SETTINGS).coalesce(1).write.mode("overwrite").parquet(
+        f"{target}/settings"
+    )
+    return open_vector_index(spark, target)
 
 
 def open_vector_index(spark: SparkSession, path: str) -> VectorIndex:
     """An index that :func:`build_vector_index` stored, with the settings it was built with."""
-    tables, bits, seed = spark.read.schema(SETTINGS).parquet(f"{path}/settings").first()
-    return VectorIndex(spark.read.parquet(f"{path}/rows"), tables, bits, seed)
+    kept = spark.read.schema(SETTINGS).parquet(f"{path}/settings").first()
+    signer = Signer(
+        kept["tables"], kept["bits"], kept["seed"], kept["metric"], kept["radius"],
+        tuple(kept["mean"]), kept["spread"],
+    )
+    rows = spark.read.parquet(f"{path}/rows")
+    entries = spark.read.schema(
+        T.StructType([T.StructField("block", T.LongType()), rows.schema["id"]])
+    ).parquet(f"{path}/entries")
+    bounds = spark.read.schema("block long, first long, n long").parquet(f"{path}/bounds")
+    return VectorIndex(rows, entries, bounds, signer, kept["blocks"], kept["n"])
+
+
+class _Finder:
+    """Finds the blocks of signatures by binary search over the bounds."""
+
+    def __init__(self, index: VectorIndex) -> None:
+        table = index.bounds.orderBy("block").toArrow()  # a million rows at most
+        self.signer, self.blocks = index.signer, index.blocks
+        self.block = table["block"].to_numpy()
+        self.first, self.size = table["first"].to_numpy(), table["n"].to_numpy()
+
+    def visits(self, vectors: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """Two blocks of each table for each vector: its own and the one that begins or ends
+        nearer. Where several blocks share its signature, the hash of the id chooses."""
+        codes = self.signer.signatures(vectors, "left")
+        found = []
+        for table in range(self.signer.tables):
+            begin, end = np.searchsorted(self.block, np.array([table, table + 1]) * self.blocks)
+            first, sig = self.first[begin:end], codes[:, table]
+            low = np.maximum(np.searchsorted(first, sig, "left") - 1, 0)
+            high = np.maximum(np.searchsorted(first, sig, "right") - 1, 0)
+            own = low + np.where(high > low + 1, ties % (high - low + 1), high - low)
+            last = len(first) - 1
+            up = np.minimum(own + 1, last)
+            nearer = first[up].astype(float) - sig < sig - first[own].astype(float)
+            beside = np.where((nearer & (own < last)) | (own == 0), up, own - 1)
+            found += [begin + own, begin + beside]
+        return self.block[np.column_stack(found)]
+
+
+def _hashes(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A number from each id that does not depend on the run."""
+    return np.fromiter((zlib.crc32(str(v).encode()) for v in ids.to_pylist()), np.int64)
 
 
 def approximate_topk(
@@ -106,130 +261,124 @@ def approximate_topk(
     *,
     left_id: str = "id",
     vector: str = "vector",
-    block_rows: int = 512,
     exclude_self: bool = False,
+    small_rows: int = SMALL_ROWS,
+    group_rows: int = 8192,
 ) -> DataFrame:
     """Up to ``k`` near rows of the index for each left row: ``source_id, target_id,
-    score, rank`` with exact cosine scores.
-
-    In each table all rows are put in signature order and the indexed ones are cut
-    into blocks of ``block_rows``; a left row is scored against the block it falls in
-    and the nearer of the two next to it. Work is linear in both sides: a signature
-    shared by very many rows is spread over several blocks by a hash of the id, and
-    left rows meeting in one block are split as well. The order and with it the result
-    do not depend on the partitioning.
+    score, rank`` with exact scores of the index's metric.
+
+    A left row looks at two blocks of each table, found by binary search over the stored
+    bounds; nothing is put in order. A left side of checked small size is sent to the stored
+    rows, which are neither shuffled nor sorted; otherwise left rows and the entries of the
+    index meet by block, and left rows meeting in one block are split. The result does not
+    depend on the partitioning.
     """
-    spark = left.sparkSession
-    queries = _signed(left, left_id, vector, index.tables, index.bits, index.seed)
-    # Ids keep their type inside a struct per side, as the two sides may differ in it.
-    fields = ["source_id", "target_id", "_vec", "_sigs"]
-    lhs = queries.select(
-        F.col("id").alias("source_id"),
-        F.lit(None).cast(index.rows.schema["id"].dataType).alias("target_id"),
-        F.col("vector").cast("array<double>").alias("_vec"),
-        F.col("signatures").alias("_sigs"),
-    )
-    rhs = index.rows.select(
-        F.lit(None).cast(queries.schema["id"].dataType).alias("source_id"),
-        F.col("id").alias("target_id"),
-        F.col("vector").cast("array<double>").alias("_vec"),
-        F.col("signatures").alias("_sigs"),
+    lhs = left.filter(vector_ok(F.col(vector))).select(
+        F.col(left_id).alias("source_id"), F.col(vector).alias("_vec")
     )
-    both = (
-        lhs.select(*fields, F.lit(False).alias("_right"))
-        .unionByName(rhs.select(*fields, F.lit(True).alias("_right")))
-        .select("source_id", "target_id", "_vec", "_right", F.posexplode("_sigs").alias("_table", "_sig"))
-        .withColumn("_tie", F.xxhash64("source_id", "target_id"))
-        .orderBy("_table", "_sig", "_tie", "_right", "source_id", "target_id")
+    keep, metric = k + exclude_self, index.signer.metric
+    finder = _Finder(index)
+    if not index.n:
+        found = score_groups(
+            lhs.withColumn("block", F.lit(0)),
+            index.rows.select(F.col("id").alias("target_id"), F.col("vector").alias("_vec"), F.lit(0).alias("block")),
+            ["block"], keep, metric, group_rows,
+        )
+        return top_k_per_group(found, ["source_id"], [F.col("score").desc(), "target_id"], k)
+    n, n_bytes = left.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(F.size(vector) * 8, F.lit(0))), F.lit(0))
+    ).first()
+    found = None
+    if n <= small_rows and n_bytes <= SMALL_BYTES:
+        found = _from_small(lhs, index, finder, keep)
+    if found is None:
+        found = _by_block(lhs, index, finder, keep, group_rows)
+    if exclude_self:
+        found = found.filter(F.col("source_id") != F.col("target_id"))
+    # A pair found in several blocks has one score.
+    return top_k_per_group(found.distinct(), ["source_id"], [F.col("score").desc(), "target_id"], k)
+
+
+def _found(lhs: DataFrame, index: VectorIndex) -> T.StructType:
+    return T.StructType(
+        [
+            lhs.schema["source_id"],
+            T.StructField("target_id", index.rows.schema["id"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
     )
-    counted = T.StructType(
-        both.schema.fields
-        + [T.StructField("_part", T.LongType()), T.StructField("_before", T.LongType())]
+
+
+def _from_small(lhs: DataFrame, index: VectorIndex, finder: _Finder, keep: int) -> DataFrame | None:
+    """Send the left rows to the stored vectors; None if they have too many candidates."""
+    spark, metric = lhs.sparkSession, index.signer.metric
+    table = lhs.toArrow().combine_chunks()
+    if not table.num_rows:
+        return spark.createDataFrame([], _found(lhs, index))
+    vectors = matrix(table["_vec"])
+    visits = finder.visits(vectors, _hashes(table["source_id"]))
+    blocks, place = np.unique(visits, return_inverse=True)
+    n_candidates = finder.size[np.searchsorted(finder.block, blocks)].sum()
+    if n_candidates > SMALL_CANDIDATES:
+        return None
+    place = place.reshape(visits.shape)
+    of_block = [np.flatnonzero((place == b).any(axis=1)) for b in range(len(blocks))]
+    schema = _found(lhs, index)
+    ids = table["source_id"].combine_chunks()
+    shared = spark.sparkContext.broadcast((blocks, of_block, ids, prepare(vectors, metric)))
+    wanted = spark.createDataFrame([(int(b),) for b in blocks], "block long")
+    near = (
+        index.entries.filter(F.col("block").between(int(blocks[0]), int(blocks[-1])))
+        .join(F.broadcast(wanted), "block")
     )
+    # The candidates were counted; the stored vectors stream past them.
+    rows = index.rows.join(F.broadcast(near), "id").select("id", "vector", "block")
 
-    def count_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), 0
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, of_block, ids, queries = shared.value
         for batch in batches:
-            right = batch.column("_right").to_numpy(zero_copy_only=False).astype(np.int64)
-            before = seen + np.cumsum(right) - right
-            seen += int(right.sum())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array(np.full(len(right), part, dtype=np.int64)),
-                    pa.array(before),
-                ],
-                names=counted.fieldNames(),
-            )
+            batch = batch.take(pc.sort_indices(batch, [("block", "ascending"), ("id", "ascending")]))
+            number = batch.column(2).to_numpy()
+            stored = prepare(matrix(batch.column(1)), metric) if batch.num_rows else None
+            for block in np.unique(number):
+                where = np.flatnonzero(number == block)
+                asked = of_block[int(np.searchsorted(blocks, block))]
+                li, ri, score = nearest(queries[asked], stored[where], keep, metric)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(asked[li])),
+                        batch.column(0).take(pa.array(where[ri])),
+                        pa.array(score),
+                    ],
+                    names=schema.names,
+                )
 
-    placed = materialise(both.mapInArrow(count_right, counted), "signed")
-    offsets = partition_offsets(
-        placed.groupBy("_part").agg(F.sum(F.col("_right").cast("long")).alias("n"))
-    )
-    placed = placed.join(F.broadcast(offsets), F.col("_part") == F.col("part")).withColumn(
-        "_at", F.col("offset") + F.col("_before")
-    )
-    own = F.floor(F.col("_at") / block_rows)
-    beside = F.when(F.col("_at") % block_rows < block_rows / 2, own - 1).otherwise(own + 1)
-    visits = placed.filter(~F.col("_right")).select(
-        "source_id", "_vec", "_table", F.explode(F.array(own, beside)).alias("_block")
-    )
-    splits = (
-        visits.groupBy("_table", "_block")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("_table", "_block", F.ceil(F.col("n") / block_rows).alias("_splits"))
-    )
-    splits = materialise(splits, "splits")
-    groups = ["_table", "_block", "_split"]
-    lefts = visits.join(splits, ["_table", "_block"]).select(
-        "source_id", "_vec", "_table", "_block",
-        F.pmod(F.xxhash64("source_id"), F.col("_splits")).alias("_split"),
-    )
-    rights = (
-        placed.filter("_right")
-        # New names for the columns the two sides share through ``placed``.
-        .select(
-            "target_id",
-            F.col("_vec").alias("_vec"),
-            F.col("_table").alias("_table"),
-            own.alias("_block"),
-        )
-        .join(splits, ["_table", "_block"])
-        .select(
-            "target_id", "_vec", "_table", "_block",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_splits") - 1)).alias("_split"),
-        )
-    )
-    schema = T.StructType(
-        [both.schema["source_id"], both.schema["target_id"], T.StructField("score", T.DoubleType())]
-    )
-    keep = k + exclude_self
+    return rows.mapInArrow(search, schema)
 
-    def search(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        theirs = theirs.take(pc.sort_indices(theirs["target_id"]))
-        li, ri, score = nearest(
-            unit(matrix(mine["_vec"])), unit(matrix(theirs["_vec"])), keep, "cosine"
-        )
-        return pa.table(
-            {
-                "source_id": mine["source_id"].take(pa.array(li)),
-                "target_id": theirs["target_id"].take(pa.array(ri)),
-                "score": pa.array(score),
-            }
-        )
 
-    found = lefts.groupBy(*groups).cogroup(rights.groupBy(*groups)).applyInArrow(search, schema)
-    if exclude_self:
-        found = found.filter(F.col("source_id") != F.col("target_id"))
-    # At most 2 * tables * k pairs per source are gathered.
-    best = found.groupBy("source_id").agg(
-        F.slice(
-            F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("cost"), "target_id"))), 1, k
-        ).alias("_best")
-    )
-    return best.select("source_id", F.posexplode("_best").alias("_pos", "_hit")).select(
-        "source_id",
-        F.col("_hit.target_id").alias("target_id"),
-        (-F.col("_hit.cost")).alias("score"),
-        (F.col("_pos") + 1).alias("rank"),
+def _by_block(
+    lhs: DataFrame, index: VectorIndex, finder: _Finder, keep: int, group_rows: int
+) -> DataFrame:
+    """Left rows and the vectors of the index meet by block."""
+    shared = lhs.sparkSession.sparkContext.broadcast(finder)
+    schema = T.StructType([*lhs.schema.fields, T.StructField("_blocks", T.ArrayType(T.LongType()))])
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            blocks = shared.value.visits(matrix(batch.column(1)), _hashes(batch.column(0)))
+            ends = pa.array(np.arange(len(blocks) + 1, dtype=np.int32) * blocks.shape[1])
+            lists = pa.ListArray.from_arrays(ends, pa.array(blocks.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=schema.names)
+
+    probed = materialise(lhs.mapInArrow(visit, schema), "probes")
+    visits = probed.select("source_id", "_vec", F.explode(F.array_distinct("_blocks")).alias("block"))
+    # A million block numbers at most: entries that nobody visits stay where they are.
+    wanted = F.broadcast(visits.select("block").distinct())
+    stored = index.rows.select(F.col("id").alias("target_id"), F.col("vector").alias("_vec"))
+    rights = (
+        index.entries.withColumnRenamed("id", "target_id").join(wanted, "block").join(stored, "target_id")
     )
+    return score_groups(visits, rights, ["block"], keep, index.signer.metric, group_rows)

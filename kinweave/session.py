@@ -46,6 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder, for a table that is about to be written."""
+    return f"{shared_dir(spark)}/kinweave/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -53,7 +58,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     recomputed (positions, answers of an external model).
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinweave/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     # Once the table is written nothing reads the shuffles it came from: free their disk.
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")

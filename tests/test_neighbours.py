@@ -151,8 +151,8 @@ def test_approximate_finds_planted_rows_with_exact_scores(spark):
     near = topk_similarity(frame(spark, left), frame(spark, right), 1)
     want = neighbours(near)
     scores = {(r.source_id, r.target_id): r.score for r in near.collect()}
-    index = build_vector_index(frame(spark, right), tables=8)
-    found = approximate_topk(frame(spark, left), index, 3, block_rows=64)
+    index = build_vector_index(frame(spark, right), tables=8, block_rows=64)
+    found = approximate_topk(frame(spark, left), index, 3)
     assert recall({i: t[:1] for i, t in neighbours(found).items()}, want) >= 0.9
     for r in found.collect():
         if (r.source_id, r.target_id) in scores:
@@ -164,8 +164,8 @@ def test_more_tables_never_lower_recall(spark):
     want = neighbours(topk_similarity(rows, rows, 3, exclude_self=True))
     reached = []
     for tables in (1, 4, 12):
-        index = build_vector_index(rows, tables=tables)
-        reached.append(recall(neighbours(approximate_topk(rows, index, 3, block_rows=64, exclude_self=True)), want))
+        index = build_vector_index(rows, tables=tables, block_rows=64)
+        reached.append(recall(neighbours(approximate_topk(rows, index, 3, exclude_self=True)), want))
     assert reached == sorted(reached)
 
 
@@ -174,13 +174,15 @@ def test_approximate_with_one_hot_signature(spark):
     rows = sample(300, 8, 10)
     rows[:200] = rows[0]
     df = frame(spark, rows)
-    index = build_vector_index(df, tables=4)
-    one = approximate_topk(df, index, 3, block_rows=32)
+    index = build_vector_index(df, tables=4, block_rows=32)
+    one = approximate_topk(df, index, 3)
     got = neighbours(one)
     assert all(len(got[i]) == 3 for i in range(300))
     assert all(set(got[i]) <= set(range(200)) for i in range(200))
-    again = approximate_topk(df.repartition(11), index, 3, block_rows=32)
+    again = approximate_topk(df.repartition(11), index, 3)
     assert {tuple(r) for r in one.collect()} == {tuple(r) for r in again.collect()}
+    met = approximate_topk(df, index, 3, small_rows=0)
+    assert {tuple(r) for r in one.collect()} == {tuple(r) for r in met.collect()}
 
 
 def test_index_can_be_stored(spark, tmp_path):
