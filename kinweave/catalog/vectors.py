@@ -23,6 +23,7 @@ from kinweave.operators.resolve import (
     judge_by_score,
     resolve,
 )
+from kinweave.operators.similar import cosine_pairs, edit_pairs, word_grams
 from kinweave.operators.upsert import merge_edges
 from kinweave.session import materialise
 
@@ -87,6 +88,38 @@ def h2(spark, d):
     return rounded(near)
 
 
+WORD_GRAMS = {
+    "gram_words": r"""
+        SELECT id, lang, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+        FROM doc_texts""",
+    "gram_terms": """
+        SELECT id, lang, array_to_string(ws[i : i + 2], ' ') AS term, count(*) AS n FROM (
+            SELECT *, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM gram_words
+            WHERE len(ws) > 0) GROUP BY ALL""",
+    "gram_norms": "SELECT id, sqrt(sum(n * n)) AS norm FROM gram_terms GROUP BY id",
+    "gram_dots": """
+        SELECT p.id AS a, q.id AS b, sum(p.n * q.n) AS dot FROM gram_terms p
+        JOIN gram_terms q ON p.term = q.term AND p.lang = q.lang AND p.id < q.id GROUP BY ALL""",
+}
+
+
+@query(
+    "h2_gram_pairs",
+    build(
+        """SELECT a, b, round(dot / (x.norm * y.norm), 6) AS score FROM gram_dots
+           JOIN gram_norms x ON x.id = a JOIN gram_norms y ON y.id = b
+           WHERE round(dot / (x.norm * y.norm), 12) >= 0.9""",
+        WORD_GRAMS,
+    ),
+)
+def h2_pairs(spark, d):
+    """Texts of one language whose word trigrams are nearly the same."""
+    texts = shapes.texts(spark, d)
+    block = texts.filter("lang IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("lang").alias("block"))
+    pairs = cosine_pairs(word_grams(texts, "doc_id", "text"), 0.9, block)
+    return pairs.withColumn("score", F.round("score", 6))
+
+
 def count_vectors(texts):
     """Trigram count vectors with the language of each text."""
     return ngram_vectors(texts, "doc_id", "text").join(texts.select("doc_id", "lang"), "doc_id")
@@ -347,6 +380,18 @@ def h8(spark, d):
     )
 
 
+@query(
+    "h8_edit_candidates",
+    """WITH n AS (SELECT DISTINCT lower(c_name) AS t FROM customer)
+       SELECT a.t AS source, b.t AS target, CAST(levenshtein(a.t, b.t) AS INTEGER) AS distance
+       FROM n a JOIN n b ON levenshtein(a.t, b.t) <= 1""",
+)
+def h8_edits(spark, d):
+    """Customer names at most one edit apart; most of each name is the same in all of them."""
+    people = table(spark, d, "customer").select(F.lower("c_name").alias("text"))
+    return edit_pairs(people, people, 1)
+
+
 def same_number(sample, listed):
     """A judge as a plain function: the candidate with the same number, else none."""
     number = sample["name"].removeprefix("customer").strip() or "0"
