@@ -237,8 +237,9 @@ def affiliations_frame(ref: DataFrame, on_error: str = "fail") -> DataFrame:
 PERSON_REQUIRED = ["id", "knownName", "fullName", "gender"]
 
 
-def clean_persons(ref: DataFrame) -> DataFrame:
-    """Person columns of a reference record, dates repaired and cities split."""
+def clean_persons(ref: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Person columns of a reference record, dates repaired and cities split. ``keep`` carries
+    more columns of the record, such as its position."""
     have = set(ref.columns)
 
     def optional(name: str) -> Column:
@@ -260,12 +261,15 @@ def clean_persons(ref: DataFrame) -> DataFrame:
         ),
         optional("birthPlaceCountry").alias("birthPlaceCountry"),
         optional("birthPlaceCountryNow").alias("birthPlaceCountryNow"),
+        *(keep or []),
     )
 
 
-def persons_frame(ref: DataFrame, on_error: str = "fail") -> DataFrame:
+def persons_frame(
+    ref: DataFrame, on_error: str = "fail", keep: list[str] | None = None
+) -> DataFrame:
     """Valid cleaned persons, one row per record."""
-    return validate(clean_persons(ref), PERSON_REQUIRED, on_error=on_error).valid
+    return validate(clean_persons(ref, keep), PERSON_REQUIRED, on_error=on_error).valid
 
 
 def rejected_persons(ref: DataFrame) -> DataFrame:

@@ -61,15 +61,21 @@ def _edges(
 # --- nodes ---
 
 
-def person_nodes(existing: DataFrame | None, persons: DataFrame) -> Merged:
-    rows = persons.select(
-        "id", "knownName", "fullName", "gender", "birthDate", "deathDate"
-    ).distinct()
+def person_nodes(
+    existing: DataFrame | None, persons: DataFrame, order: str | None = None
+) -> Merged:
+    """A person of several records keeps the values of the last in ``order``, by default the
+    order of the values."""
+    values = ["id", "knownName", "fullName", "gender", "birthDate", "deathDate"]
+    rows = persons.select(*values).distinct()
+    if order is not None:  # equal rows count once, at their last place
+        rows = persons.groupBy(*values).agg(F.max(order).alias(order))
     rows = rows.withColumn("name", F.col("knownName")).withColumn(
         "scholar_type", kind_from_id(F.col("id"))
     )
     columns = [c for c in NODES["Scholar"][0].fieldNames() if c != "id"]
-    return _nodes("Scholar", existing, rows, columns)
+    by = None if order is None else F.struct(order, *columns)
+    return _nodes("Scholar", existing, rows, columns, by)
 
 
 def scholar_nodes(existing: DataFrame | None, entities: DataFrame) -> Merged:
@@ -91,11 +97,15 @@ def prize_nodes(
     )
 
 
-def birth_city_nodes(existing: DataFrame | None, persons: DataFrame) -> Merged:
+def birth_city_nodes(
+    existing: DataFrame | None, persons: DataFrame, order: str | None = None
+) -> Merged:
+    """A city keeps the state of its last person, by default in the order of their ids."""
+    by = [*([order] if order else []), "id"]
     rows = _present(persons, "birthPlaceCity").select(
-        F.col("birthPlaceCity").alias("name"), F.col("birthPlaceState").alias("state"), "id"
+        F.col("birthPlaceCity").alias("name"), F.col("birthPlaceState").alias("state"), *by
     )
-    return _nodes("City", existing, rows, ["state"], F.struct("id", "state"))
+    return _nodes("City", existing, rows, ["state"], F.struct(*by, "state"))
 
 
 def birth_country_nodes(existing: DataFrame | None, persons: DataFrame) -> Merged:
@@ -219,17 +229,20 @@ def open_graph(folder: GraphFolder) -> Graph:
 
 
 def build_graph(
-    folder: GraphFolder, tree: DataFrame, ref: DataFrame
+    folder: GraphFolder, tree: DataFrame, ref: DataFrame, order: str | None = None
 ) -> tuple[Graph, dict[str, DataFrame]]:
     """Fill a fresh graph from the enriched tree and the reference records.
 
     Each table is written once and later steps read it back; the three frames that feed
-    several tables are written once as well. Returns the graph and the counters by step.
+    several tables are written once as well. ``order`` is a column of ``ref`` with the place
+    of a record in its source: of records that set the same node or edge the last one wins.
+    Without it the greatest values win. Returns the graph and the counters by step.
     """
     declare_graph(folder)
     folder.reset("DIED_IN")  # no step fills it; all other tables are replaced below
-    persons = materialise(persons_frame(ref), "persons")
-    prizes = materialise(prizes_frame(ref), "prizes")
+    keep = [order] if order else []
+    persons = materialise(persons_frame(ref, keep=keep), "persons")
+    prizes = materialise(prizes_frame(ref, keep), "prizes")
     affiliations = materialise(affiliations_frame(ref), "affiliations")
     entities = stack_entities(tree, sort=False)
     counts: dict[str, DataFrame] = {}
@@ -238,10 +251,12 @@ def build_graph(
         counts[step] = merged.counts
         return folder.replace(name, merged.table)
 
-    people = store("persons", "Scholar", person_nodes(None, persons))
-    prize_table = store("prizes", "Prize", prize_nodes(None, prizes))
+    rest = [c for c in prizes.columns if c != order]
+    by = F.struct(order, *rest) if order else None
+    people = store("persons", "Scholar", person_nodes(None, persons, order))
+    prize_table = store("prizes", "Prize", prize_nodes(None, prizes, by))
     people = store("scholars", "Scholar", scholar_nodes(people, entities))
-    cities = store("birth cities", "City", birth_city_nodes(None, persons))
+    cities = store("birth cities", "City", birth_city_nodes(None, persons, order))
     countries = store("countries", "Country", birth_country_nodes(None, persons))
     institutions = store("institutions", "Institution", institution_nodes(None, affiliations))
     cities = store("affiliation cities", "City", affiliation_city_nodes(cities, affiliations))
@@ -254,7 +269,7 @@ def build_graph(
         birth_city_country_edges(None, persons, cities, countries),
     )
     store("mentored", "MENTORED", mentored_edges(None, tree, people))
-    store("won", "WON", won_edges(None, prizes, people, prize_table))
+    store("won", "WON", won_edges(None, prizes, people, prize_table, by))
     store(
         "affiliated", "AFFILIATED_WITH", affiliated_edges(None, affiliations, people, institutions)
     )

@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave import schemas
-from kinweave.operators.approximate import approximate_topk, build_vector_index
+from kinweave.operators.approximate import (
+    approximate_topk,
+    build_vector_index,
+    open_vector_index,
+)
 from kinweave.operators.embed import Embedder, embed, hashed_ngrams
 from kinweave.operators.keyed import keyed_reference, keyed_source
-from kinweave.operators.keys import key_collisions
+from kinweave.operators.keys import key_collisions, top_k_per_group
 from kinweave.operators.neighbours import similar_edges, topk_similarity
 from kinweave.operators.nested import enrich_tree, laureate_lookup, scholar_lookup
 from kinweave.operators.numbering import slice_rows
@@ -60,11 +64,8 @@ def declare_vectors(folder: GraphFolder) -> None:
     folder.declare_edge("SIMILAR_TO", src, dst, props)
 
 
-def _neighbours(source: DataFrame, reference: DataFrame, k: int, approximate: bool) -> DataFrame:
-    if approximate:
-        index = build_vector_index(reference, id_col="pk")
-        return approximate_topk(source, index, k, left_id="pk")
-    return topk_similarity(source, reference, k, left_id="pk", right_id="pk")
+def _index_path(folder: GraphFolder) -> str:
+    return f"{folder.root}/_index"
 
 
 def vector_stage(
@@ -76,7 +77,7 @@ def vector_stage(
     approximate: bool = False,
 ) -> None:
     """Key, embed and load both sources, then store the ``k`` nearest reference rows of
-    each source row as SIMILAR_TO edges."""
+    each source row as SIMILAR_TO edges. The approximate index is stored beside the tables."""
     declare_vectors(folder)
     for name in ("Scholar", "Reference", "SIMILAR_TO"):
         folder.reset(name)
@@ -86,13 +87,29 @@ def vector_stage(
         "Reference",
         schemas.KEYED_REFERENCE.fieldNames(),
     )
-    near = similar_edges(_neighbours(source, reference, k, approximate))
+    if approximate:
+        index = build_vector_index(reference, id_col="pk", path=_index_path(folder))
+        found = approximate_topk(source, index, k, left_id="pk")
+    else:
+        found = topk_similarity(source, reference, k, left_id="pk", right_id="pk")
+    near = similar_edges(found)
     merged = merge_edges(
         folder.table("SIMILAR_TO"), near, source, "pk", reference, "pk", ["similarity_score"]
     )
     folder.replace("SIMILAR_TO", merged.table)
 
 
+def stored_neighbours(folder: GraphFolder, chosen: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best stored edges of the chosen rows, as a search would return them."""
+    edges = folder.table("SIMILAR_TO").select(
+        F.col("src").alias("source_id"),
+        F.col("dst").alias("target_id"),
+        F.col("similarity_score").cast("double").alias("score"),
+    )
+    own = edges.join(chosen.select(F.col("pk").alias("source_id")), "source_id", "left_semi")
+    return top_k_per_group(own, ["source_id"], [F.col("score").desc(), "target_id"], k)
+
+
 RECORD = ["id", "knownName", "fullName", "category"]
 
 
@@ -110,11 +127,19 @@ def resolution_stage(
     """Choose one reference person per source row, as mapping records.
 
     ``judge`` is an outside function, ``score`` a column expression on a candidate;
-    without either the built-in name score decides.
+    without either the built-in name score decides. Candidates come from the SIMILAR_TO edges
+    of the vector stage, or with ``approximate`` from the index it stored; nothing is searched
+    or built again. Rows are put in order only for a slice.
     """
-    chosen = slice_rows(folder.table("Scholar"), ["name", "pk"], start, end)
+    chosen = folder.table("Scholar")
+    if start or end is not None:
+        chosen = slice_rows(chosen, ["name", "pk"], start, end)
     reference = folder.table("Reference")
-    near = _neighbours(chosen, reference, k, approximate)
+    if approximate:
+        index = open_vector_index(folder.spark, _index_path(folder))
+        near = approximate_topk(chosen, index, k, left_id="pk")
+    else:
+        near = stored_neighbours(folder, chosen, k)
     lists = candidates(
         near,
         reference.withColumn("id", F.col("id").cast("long")),
@@ -165,7 +190,7 @@ def merge_stage(
 
 
 def graph_stage(
-    folder: GraphFolder, tree: DataFrame, ref: DataFrame
+    folder: GraphFolder, tree: DataFrame, ref: DataFrame, order: str | None = None
 ) -> tuple[Graph, dict[str, DataFrame]]:
-    """The enriched property graph and the counters of its steps."""
-    return build_graph(folder, tree, ref)
+    """The enriched property graph and the counters of its steps; see :func:`build_graph`."""
+    return build_graph(folder, tree, ref, order)
