@@ -1,5 +1,7 @@
 """Upserts, nested enrichment and path patterns."""
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from kinweave import schemas
 from kinweave.operators.keys import key_collisions
 from kinweave.operators.nested import enrich_tree
-from kinweave.operators.paths import Graph, Hop, incoming_counts, match
+from kinweave.operators.paths import Graph, Hop, incoming_counts, match, reduced_edges
 from kinweave.operators.upsert import merge_edges, merge_nodes, orphan_edges
 from kinweave.sources.tables import DuplicateKeyError, GraphFolder
 from tests.test_reshape import nested
@@ -133,6 +135,71 @@ def test_paths(spark):
         match(Graph({"S": people, "T": people}, {"S": "id", "T": "id"}, {"M": edges}, {"M": ("S", "S")}), "T", "t", hops)
 
 
+def random_graph(spark, seed, n=40):
+    rng = random.Random(seed)
+    labels = {"A": "id", "B": "name", "C": "id", "D": "id"}
+    nodes = {
+        label: spark.createDataFrame(
+            [(f"{label}{i}", rng.randrange(5)) for i in range(n)], f"{key} string, kind int"
+        )
+        for label, key in labels.items()
+    }
+    ends = {"AB": ("A", "B"), "CB": ("C", "B"), "CD": ("C", "D")}
+    edges = {}
+    for name, (src, dst) in ends.items():
+        rows = [(f"{src}{rng.randrange(n + 5)}", f"{dst}{rng.randrange(n + 5)}", rng.randrange(4)) for _ in range(90)]
+        hub = [(f"{src}{i}", f"{dst}0", 1) for i in range(n)]  # one node has a third of the edges
+        edges[name] = spark.createDataFrame(rows + hub, "src string, dst string, w int")
+    return Graph(nodes, labels, edges, ends)
+
+
+HOPS = [
+    Hop("AB", "b", "out", "kind < 4", edge_where="w > 0"),
+    Hop("CB", "c", "in", "kind <> 2", "cb", "w < 3"),
+    Hop("CD", "d", "out", "kind IN (1, 2)"),
+]
+
+
+def plain_paths(graph, where, hops):
+    def rows(df):
+        return [r.asDict() for r in df.collect()]
+
+    start = graph.nodes["A"].filter(where) if where else graph.nodes["A"]
+    paths, label = [([n["id"]], []) for n in rows(start)], "A"
+    for hop in hops:
+        src, dst = graph.ends[hop.edge]
+        near, far, label = ("src", "dst", dst) if hop.direction == "out" else ("dst", "src", src)
+        edges = graph.edges[hop.edge]
+        edges = edges if hop.edge_where is None else edges.filter(hop.edge_where)
+        nodes = graph.nodes[label]
+        nodes = nodes if hop.where is None else nodes.filter(hop.where)
+        good = {n[graph.keys[label]] for n in rows(nodes)}
+        paths = [
+            (ids + [e[far]], ws + [e["w"]])
+            for ids, ws in paths for e in rows(edges) if e[near] == ids[-1] and e[far] in good
+        ]
+    return sorted((*ids, *ws) for ids, ws in paths)
+
+
+@pytest.mark.parametrize("seed, where", [(1, "kind = 3"), (2, None), (3, "kind = 99")])
+def test_reduced_paths_equal_plain_ones(spark, seed, where):
+    graph = random_graph(spark, seed)
+    columns = ["a_id", "b_name", "c_id", "d_id", "ab_w", "cb_w", "cd_w"]
+    want = plain_paths(graph, where, HOPS)
+    for reduce in (False, True):
+        found = match(graph, "A", "a", HOPS, where, reduce=reduce)
+        assert sorted(map(tuple, found.select(*columns).collect())) == want
+    assert {"a_kind", "b_kind", "c_kind", "d_kind"} <= set(match(graph, "A", "a", HOPS, where, reduce=True).columns)
+
+
+def test_reduced_edges_are_those_of_the_answer(spark):
+    graph = random_graph(spark, 1)
+    kept = reduced_edges(graph, "A", HOPS, "kind = 3")
+    want = plain_paths(graph, "kind = 3", HOPS)
+    for i, part in enumerate(kept):
+        assert {(r._near, r._far) for r in part.collect()} == {(p[i], p[i + 1]) for p in want}
+
+
 def test_graph_folder(spark, tmp_path):
     folder = GraphFolder(spark, str(tmp_path))
     schema = spark.createDataFrame([], NODE).schema

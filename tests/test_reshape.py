@@ -193,6 +193,38 @@ def test_slice(spark):
             numbering.slice_rows(df, ["id"], start, end)
 
 
+@pytest.mark.parametrize("start, end", [(0, 7), (3, 40), (25, 26), (38, 80), (59, None), (60, 70), (0, 60)])
+def test_slice_of_ties_and_nulls(spark, start, end):
+    rows = [(i % 7 or None, "x" if i % 3 else None, [float(i)] * 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, v array<double>").repartition(4)
+    got = numbering.slice_rows(df, ["a", "b"], start, end)
+    order = sorted(((a is not None, a or 0), (b is not None, b or "")) for a, b, _ in rows)
+    want = order[start:end]
+    assert [((r.a is not None, r.a or 0), (r.b is not None, r.b or "")) for r in got.collect()] == want
+    assert got.columns == df.columns
+    assert len({r.v[0] for r in got.collect()}) == len(want)
+    parts = [r.v[0] for r in numbering.slice_rows(df.repartition(9), ["a", "b"], start, end).collect()]
+    assert sorted(parts) == sorted(r.v[0] for r in got.collect())
+
+
+def test_slices_part_the_input(spark):
+    rows = [(i // 10, [float(i)]) for i in range(50)]
+    df = spark.createDataFrame(rows, "a int, v array<double>")
+    seen = [r.v[0] for at in range(0, 50, 7) for r in numbering.slice_rows(df, ["a"], at, at + 7).collect()]
+    assert sorted(seen) == [float(i) for i in range(50)]
+
+
+def test_slice_shuffles_the_order_columns_alone(spark, monkeypatch):
+    written = []
+    keep = numbering.materialise
+    monkeypatch.setattr(numbering, "materialise", lambda df, name: written.append((name, df)) or keep(df, name))
+    df = spark.range(1000).select("id", F.array(F.col("id").cast("double")).alias("v"))
+    assert numbering.slice_rows(df, ["id"], 10, 15).count() == 5
+    (_, keys), (_, rows) = written
+    assert keys.columns == ["_k0", "_range"]
+    assert rows.count() == 5  # of the whole rows, only those of the slice are numbered
+
+
 def test_last_wins_keeps_nulls_of_the_winner(spark):
     df = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("b", "y", 1)], "k string, v string, o int")
     assert {(r.k, r.v) for r in last_wins(df, ["k"], ["v"], "o").collect()} == {("a", None), ("b", "y")}

@@ -181,6 +181,48 @@ def test_slice_and_approximate_search(world):
     assert {r.source.name: r.matched_record.id for r in near.matched.collect()}["Niels Bohr"] == 21
 
 
+def test_resolution_searches_and_builds_nothing_again(world, monkeypatch):
+    def forbidden(*_, **__):
+        raise AssertionError("searched again")
+
+    stages.stored_index(world["vectors"])  # stored by now
+    monkeypatch.setattr(stages, "topk_similarity", forbidden)
+    monkeypatch.setattr(stages, "build_vector_index", forbidden)
+    monkeypatch.setattr(stages, "slice_rows", forbidden)
+    for approximate in (False, True):
+        done = stages.resolution_stage(world["vectors"], approximate=approximate)
+        assert done.matched.count() == world["resolved"].matched.count()
+
+
+def test_the_last_record_in_order_wins(spark, tmp_path):
+    def record(name, place, portion):
+        return (
+            "7", name, name, "male", "1900-01-01", f"Paris, {place}", None,
+            [{"awardYear": "1950", "category": "Physics", "portion": portion, "motivation": name}],
+        )
+
+    schema = (
+        "id string, knownName string, fullName string, gender string, birthDate string, "
+        "birthPlaceCity string, deathDate string, prizes array<struct<awardYear string, category string, "
+        "portion string, dateAwarded string, motivation string, prizeAmount long, prizeAmountAdjusted long, "
+        "affiliations array<struct<name string, nameNow string, city string, country string, cityNow string, "
+        "countryNow string, continent string>>>>"
+    )
+    rows = [record("A", "Z", "1/3"), record("Z", "A", "1/2"), record("M", None, "1/4")]
+    tree = nested(spark, TREE[:1], schemas.TREE)
+    for order in ([2, 1, 0], [0, 2, 1], [0, 1, 2]):
+        ref = spark.createDataFrame(rows, schema).withColumn("position", F.lit(0))
+        place = F.element_at(F.create_map(*[F.lit(x) for n, k in zip("AZM", order) for x in (n, k)]), F.col("fullName"))
+        folder = GraphFolder(spark, str(tmp_path / str(order)))
+        graph, _ = stages.graph_stage(folder, tree, ref.withColumn("position", place), "position")
+        last = "AZM"[order.index(2)]
+        person = graph.nodes["Scholar"].filter("id = 'l7'").first()
+        assert (person.name, person.fullName) == (last, last)
+        assert graph.nodes["Prize"].first().motivation == last
+        assert graph.edges["WON"].first().portion == {"A": "1/3", "Z": "1/2", "M": "1/4"}[last]
+        assert graph.nodes["City"].first().state == {"A": "Z", "Z": "A", "M": None}[last]
+
+
 def test_default_score(spark):
     df = spark.createDataFrame(
         [("Niels Bohr", "Physics", [(1, "Niels Bohr", "Niels Henrik Bohr", "Physics"), (2, "A. Bohr", "Aage Bohr", None)])],
