@@ -207,7 +207,8 @@ def sample(
     """The bounded training sample, and the share of label 1 among all labelled rows.
 
     At most 1,500 documents of each label in the order of a hash of the id; of each at most
-    ten chunks, evenly spread from its first byte to its last.
+    ten chunks, evenly spread from its first byte to its last. Of ids that repeat with other
+    texts, at most 6,000 rows in the order of a hash of both.
     """
     known = labels.filter(learn & F.col(label_col).isin(0, 1)).select(
         id_col, F.col(label_col).cast("int").alias("_label")
@@ -233,8 +234,9 @@ def sample(
     rows = (
         docs.select(id_col, raw.alias("_raw"))
         .join(F.broadcast(picked), id_col)  # at most 3,000 ids
-        .select(id_col, "_label", F.array_distinct(spread).alias("_chunks"))
+        .orderBy(F.xxhash64(id_col, "_raw"), id_col, "_label", "_raw")
         .limit(4 * TRAIN_PER_LABEL)
+        .select(id_col, "_label", F.array_distinct(spread).alias("_chunks"))
         .collect()
     )
     rows.sort(key=lambda r: (r[0], r["_label"], r["_chunks"]))
