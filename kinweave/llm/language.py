@@ -371,8 +371,9 @@ def train(pieces: DataFrame, labels: list[str], share: np.ndarray) -> Field | No
                     names=["_shard", "_rows", "_change", "_steps"],
                 )
 
-        # A row for each shard, read one partition at a time in the order of the shards.
-        found = pieces.mapInArrow(run, schema)
+        # A row for each shard, read one at a time in the order of the shards. Stored first, as
+        # the sort looks at its input twice.
+        found = materialise(pieces.mapInArrow(run, schema), "language-round")
         change, times = np.zeros_like(weights), np.zeros(len(weights), np.float32)
         steps, shards = np.zeros_like(transitions), 0
         for row in found.orderBy("_shard").toLocalIterator():
