@@ -120,8 +120,3 @@ def affiliation_state(column: Column, current: Column | None = None) -> Column:
 def kind_from_id(column: Column) -> Column:
     """Person kind from the first letter of the id."""
     return F.when(column.startswith("l"), "laureate").when(column.startswith("s"), "scholar")
-
-
-def similarity(distance: Column) -> Column:
-    """Score of a distance."""
-    return 1 - distance

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinweave.operators.answers import CHUNK_ROWS, DIGEST, answered
 from kinweave.session import materialise
 
 # Confidence labels of a mapping record.
@@ -158,12 +159,39 @@ def judge_by_function(
     answer_type: str = "long",
     partitions: int | None = None,
     concurrency: int = 1,
+    log: str | None = None,
+    log_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``answer`` and ``confidence`` from an outside judge, asked once per row.
 
     Rows are judged in parallel over partitions, and up to ``concurrency`` at a time
-    within one. The answers are written before anything reads them.
+    within one. The answers are written before anything reads them. With a ``log``, a folder
+    that stays, equal samples with equal candidates are one question, which is asked only if
+    the log does not have it; see :func:`kinweave.operators.answers.answered`.
     """
+    if log is not None:
+        question = F.to_json(F.struct(*sample, "candidates"), {"ignoreNullFields": "false"})
+        rows = materialise(df.withColumn(DIGEST, F.sha2(question, 256)), "judged-rows")
+        # Lists have a few entries, so a question is a small row.
+        asked = rows.select(DIGEST, *sample, "candidates").dropDuplicates([DIGEST])
+
+        def ask(some: DataFrame) -> DataFrame:
+            found = _ask(some, judge, sample, answer_type, partitions, concurrency)
+            return found.select(DIGEST, "answer", "confidence")
+
+        answers = answered(asked, ask, log, log_rows)
+        return rows.join(answers, DIGEST, "left").drop(DIGEST)
+    return materialise(_ask(df, judge, sample, answer_type, partitions, concurrency), "answers")
+
+
+def _ask(
+    df: DataFrame,
+    judge: Judge,
+    sample: list[str],
+    answer_type: str,
+    partitions: int | None,
+    concurrency: int,
+) -> DataFrame:
     if partitions:
         df = df.repartition(partitions)
     fields = [f for f in df.schema.fields]
@@ -185,7 +213,7 @@ def judge_by_function(
                     answer=[a[0] for a in answers], confidence=[a[1] for a in answers]
                 )
 
-    return materialise(df.mapInPandas(ask, schema), "answers")
+    return df.mapInPandas(ask, schema)
 
 
 def resolve(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kinweave import schemas
 from kinweave.operators.approximate import (
+    VectorIndex,
     approximate_topk,
     build_vector_index,
     open_vector_index,
@@ -68,6 +69,15 @@ def _index_path(folder: GraphFolder) -> str:
     return f"{folder.root}/_index"
 
 
+def stored_index(folder: GraphFolder) -> VectorIndex:
+    """The index beside the tables; built and stored if the vector stage made none."""
+    spark, path = folder.spark, _index_path(folder)
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/settings/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return open_vector_index(spark, path)
+    return build_vector_index(folder.table("Reference"), id_col="pk", path=path)
+
+
 def vector_stage(
     folder: GraphFolder,
     tree: DataFrame,
@@ -136,8 +146,7 @@ def resolution_stage(
         chosen = slice_rows(chosen, ["name", "pk"], start, end)
     reference = folder.table("Reference")
     if approximate:
-        index = open_vector_index(folder.spark, _index_path(folder))
-        near = approximate_topk(chosen, index, k, left_id="pk")
+        near = approximate_topk(chosen, stored_index(folder), k, left_id="pk")
     else:
         near = stored_neighbours(folder, chosen, k)
     lists = candidates(
