@@ -452,30 +452,23 @@ def g19(spark, d):
 
 
 
-
 @query(
     "h3_improper_vectors",
-    build("""SELECT source_id, target_id, sc AS score, rk AS rank FROM (
-                 SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY sc DESC, target_id) AS rk
-                 FROM (SELECT a.vec_id AS source_id, b.vec_id AS target_id,
-                              round(list_cosine_similarity(a.e, b.e), 9) AS sc
-                       FROM vec a JOIN vec b ON a.vec_id <> b.vec_id
-                       WHERE a.vec_id % 5 > 2 AND b.vec_id % 5 > 2))
-             WHERE rk <= 3"""),
+    build("SELECT source_id, target_id, round(sc, 9) AS score, rk AS rank FROM vec_near"),
 )
 def h3_improper(spark, d):
-    """NaN, NULL and infinite elements are planted; such rows are on neither side."""
-    first = F.get("embedding", F.lit(0))
-    planted = (
-        F.when(F.col("vec_id") % 5 == 0, F.lit(float("nan")))
-        .when(F.col("vec_id") % 5 == 2, F.lit(float("inf")))
-        .when(F.col("vec_id") % 5 != 1, first)
+    """Beside every vector a faulty copy of it is planted, with a NaN, NULL or infinite element;
+    such rows are on neither side, and the search over all others is as without them."""
+    rows = vec(spark, d).select("id", "vector")
+    fault = (
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).when(F.col("id") % 3 == 1, F.lit(float("inf")))
     )
-    rows = table(spark, d, "embeddings").select(
-        F.col("vec_id").alias("id"),
-        F.concat(F.array(planted.cast("float")), F.slice("embedding", 2, 1 << 20)).alias("vector"),
+    faulty = rows.select(
+        (F.col("id") + COPY).alias("id"),
+        F.concat(F.array(fault.cast("float")), F.slice("vector", 2, 1 << 20)).alias("vector"),
     )
-    found = topk_similarity(rows, rows, 3, exclude_self=True)
+    both = rows.unionByName(faulty)
+    found = topk_similarity(both, both, 3, exclude_self=True)
     return found.select(
         "source_id", "target_id", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank")
     )
