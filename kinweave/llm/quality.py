@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 # A document is cut into chunks of so many bytes, each beginning so many after the last.
 CHUNK, HOP = 256, 192
 EMBED, STRIDE, FILTERS, HIDDEN = 8, 4, 40, 24
-# Bounds of the training sample: documents of each label, and chunks of each document,
-# spread over its whole length.
+# Bounds of the training sample: documents of each label, and bytes of all their texts. Texts
+# are taken whole, in the order of a hash, as long as those before them are not too many bytes.
 TRAIN_PER_LABEL = 1500
-TRAIN_CHUNKS = 10
-STEPS, BATCH, RATE = 600, 48, 4e-3
+TRAIN_BYTES = 24 << 20
+STEPS, BATCH, RATE = 400, 48, 4e-3
 # Share of the training documents that a step cuts to one short stretch.
 CROPPED = 0.25
 SEED = 11
@@ -159,14 +159,25 @@ def _cropped(chunks: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return chunked(chunk[at : at + n].tobytes())
 
 
+def _blocks(n: int) -> Iterator[slice]:
+    return (slice(i, min(n, i + CHUNKS_AT_ONCE)) for i in range(0, n, CHUNKS_AT_ONCE))
+
+
 def _gradient(
     net: Net, chunks: np.ndarray, first: np.ndarray, sizes: np.ndarray, labels: np.ndarray
 ) -> dict[str, np.ndarray]:
-    """Gradients of the mean cross-entropy; pooling passes them to the places it chose."""
-    x, response = _convolved(net, chunks)
-    place = response.argmax(axis=1)
+    """Gradients of the mean cross-entropy; pooling passes them to the places it chose.
+
+    Chunks are convolved in blocks; of each only the chosen places and their responses are kept.
+    """
     n = len(chunks)
-    peak = np.take_along_axis(response, place[:, None, :], axis=1)[:, 0] + net.bias
+    place = np.empty((n, FILTERS), np.int64)
+    peak = np.empty((n, FILTERS), net.low.dtype)
+    for block in _blocks(n):
+        response = _convolved(net, chunks[block])[1]
+        place[block] = response.argmax(axis=1)
+        peak[block] = np.take_along_axis(response, place[block][:, None, :], axis=1)[:, 0]
+    peak += net.bias
     peaks = np.column_stack([np.maximum(peak, 0), _filled(chunks)])
     combined = _combined(peaks, first, sizes)
     hidden, logit = _logits(net, combined)
@@ -186,18 +197,18 @@ def _gradient(
         d_peak += part[doc] * hit / np.add.reduceat(hit, first, axis=0)[doc]
     d_peak *= peak > 0
     grad["bias"] = d_peak.sum(axis=0)
-    rows = np.arange(n)[:, None]
-    embed = np.zeros_like(net.embed)
+    grad["embed"] = np.zeros_like(net.embed)
     for name, shift in (("low", 0), ("high", 1)):
         weights = getattr(net, name)
-        seen = x[rows, place + shift]
-        grad[name] = np.einsum("nfd,nf->df", seen, d_peak)
-        d_x = d_peak[:, :, None] * weights.T[None]
-        bytes_ = chunks.reshape(n, -1, STRIDE)[rows, place + shift].ravel()
-        d_x = d_x.reshape(-1, EMBED)
-        for e in range(EMBED):
-            embed[:, e] += np.bincount(bytes_, d_x[:, e], minlength=256)
-    grad["embed"] = embed
+        grad[name] = np.zeros_like(weights)
+        for block in _blocks(n):
+            rows = np.arange(block.stop - block.start)[:, None]
+            bytes_ = chunks[block].reshape(len(rows), -1, STRIDE)[rows, place[block] + shift]
+            seen = net.embed[bytes_].reshape(len(rows), FILTERS, STRIDE * EMBED)
+            grad[name] += np.einsum("nfd,nf->df", seen, d_peak[block])
+            d_x = (d_peak[block][:, :, None] * weights.T[None]).reshape(-1, EMBED)
+            for e in range(EMBED):
+                grad["embed"][:, e] += np.bincount(bytes_.ravel(), d_x[:, e], minlength=256)
     return grad
 
 
@@ -206,9 +217,9 @@ def sample(
 ) -> tuple[list[np.ndarray], np.ndarray, float]:
     """The bounded training sample, and the share of label 1 among all labelled rows.
 
-    At most 1,500 documents of each label in the order of a hash of the id; of each at most
-    ten chunks, evenly spread from its first byte to its last. Of ids that repeat with other
-    texts, at most 6,000 rows in the order of a hash of both.
+    At most 1,500 documents of each label in the order of a hash of the id. Of their rows (an id
+    may repeat) at most 6,000 in the order of a hash of id and text, as long as those before
+    them hold less than 24 MB; each with all chunks of its whole text.
     """
     known = labels.filter(learn & F.col(label_col).isin(0, 1)).select(
         id_col, F.col(label_col).cast("int").alias("_label")
@@ -220,30 +231,23 @@ def sample(
         some = some.limit(TRAIN_PER_LABEL)
         picked = some if picked is None else picked.unionByName(some)
     raw = F.encode(F.coalesce(text_col, F.lit("")), "UTF-8")
-    spread = F.transform(
-        F.sequence(F.lit(0), F.lit(TRAIN_CHUNKS - 1)),
-        lambda i: F.substring(
-            F.col("_raw"),
-            (
-                F.floor(i * F.greatest(F.length("_raw") - CHUNK, F.lit(0)) / (TRAIN_CHUNKS - 1))
-                + 1
-            ).cast("int"),
-            F.lit(CHUNK),
-        ),
-    )
-    rows = (
-        docs.select(id_col, raw.alias("_raw"))
-        .join(F.broadcast(picked), id_col)  # at most 3,000 ids
-        .orderBy(F.xxhash64(id_col, "_raw"), id_col, "_label", "_raw")
-        .limit(4 * TRAIN_PER_LABEL)
-        .select(id_col, "_label", F.array_distinct(spread).alias("_chunks"))
-        .collect()
-    )
-    rows.sort(key=lambda r: (r[0], r["_label"], r["_chunks"]))
-    chunks = [np.concatenate([chunked(bytes(c))[:1] for c in r["_chunks"]]) for r in rows]
+    rows = docs.select(id_col, raw.alias("_raw")).join(F.broadcast(picked), id_col)  # at most 3,000 ids
+    order = ["_h", id_col, "_label"]
+    keyed = rows.withColumn("_h", F.xxhash64(id_col, "_raw"))
+    sized = keyed.select(*order, F.length("_raw").alias("_size")).distinct()
+    sizes = sized.orderBy(*order).limit(4 * TRAIN_PER_LABEL).collect()
+    before = np.cumsum([r["_size"] for r in sizes]) - [r["_size"] for r in sizes]
+    last = [r["_h"] for r, upto in zip(sizes, before) if upto < TRAIN_BYTES][-1:]
+    # Rows that repeat id, text and label are one: they could be any number.
+    found = []
+    if last:
+        found = keyed.filter(F.col("_h") <= last[0]).select(*order, "_raw").distinct().collect()
+    found.sort(key=lambda r: (r["_h"], r["_label"]))
+    chunks = [chunked(bytes(r["_raw"])) for r in found]
+    picked_labels = np.array([r["_label"] for r in found])
     total = sum(counts.values())
     share = (counts.get(1, 0) + 1) / (total + 2)
-    return chunks, np.array([r["_label"] for r in rows]), share
+    return chunks, picked_labels, share
 
 
 def score_quality(
