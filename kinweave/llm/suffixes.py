@@ -15,8 +15,18 @@ def _s_types(text: np.ndarray) -> np.ndarray:
     return np.append(np.append(step, 1)[decided] > 0, True)
 
 
+def _before(text: np.ndarray, s_type: np.ndarray) -> tuple[list[int], list[int]]:
+    """For each suffix the first symbol of the one before it, if that is larger or smaller than
+    its successor, and else -1. A place of -1, as in the empty slots of an array, has none."""
+    larger = np.full(len(text) + 1, -1, dtype=np.int64)
+    smaller = larger.copy()
+    larger[1:-1] = np.where(s_type[:-1], -1, text[:-1])
+    smaller[1:-1] = np.where(s_type[:-1], text[:-1], -1)
+    return larger.tolist(), smaller.tolist()
+
+
 def _induced(
-    text: list[int], small: list[bool], counts: np.ndarray, order: list[int]
+    text: list[int], before: tuple[list[int], list[int]], counts: np.ndarray, order: list[int]
 ) -> list[int]:
     """All suffixes from the leftmost-smaller ones in ``order``, in two linear scans."""
     ends = np.cumsum(counts)
@@ -26,19 +36,20 @@ def _induced(
         c = text[i]
         tail[c] -= 1
         array[tail[c]] = i
+    larger, smaller = before
     head = (ends - counts).tolist()
     for i in array:  # larger suffixes, from the front; the list fills ahead of the scan
-        if i > 0 and not small[i - 1]:
-            c = text[i - 1]
-            array[head[c]] = i - 1
-            head[c] += 1
+        c = larger[i]
+        if c >= 0:
+            at = head[c]
+            array[at] = i - 1
+            head[c] = at + 1
     tail = ends.tolist()
-    for at in range(len(array) - 1, -1, -1):  # smaller suffixes, from the back
-        i = array[at]
-        if i > 0 and small[i - 1]:
-            c = text[i - 1]
-            tail[c] -= 1
-            array[tail[c]] = i - 1
+    for i in reversed(array):  # smaller suffixes, from the back, where it fills behind
+        c = smaller[i]
+        if c >= 0:
+            tail[c] = at = tail[c] - 1
+            array[at] = i - 1
     return array
 
 
@@ -54,8 +65,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.zeros(1, dtype=np.int64)
     s_type = _s_types(text)
     left = np.flatnonzero(s_type[1:] & ~s_type[:-1]) + 1
-    symbols, small, counts = text.tolist(), s_type.tolist(), np.bincount(text)
-    rough = np.array(_induced(symbols, small, counts, left.tolist()))
+    symbols, before, counts = text.tolist(), _before(text, s_type), np.bincount(text)
+    rough = np.array(_induced(symbols, before, counts, left.tolist()))
     is_left = np.zeros(len(text), dtype=bool)
     is_left[left] = True
     by_substring = rough[is_left[rough]]
@@ -74,7 +85,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         order = left[suffix_array(names[left])]
     else:
         order = by_substring
-    return np.array(_induced(symbols, small, counts, order.tolist()))
+    return np.array(_induced(symbols, before, counts, order.tolist()))
 
 
 def permuted_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
