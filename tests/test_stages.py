@@ -194,10 +194,10 @@ def test_resolution_searches_and_builds_nothing_again(world, monkeypatch):
         assert done.matched.count() == world["resolved"].matched.count()
 
 
-def test_the_last_record_in_order_wins(spark, tmp_path):
+def test_the_last_record_in_order_wins(spark, world, tmp_path):
     def record(name, place, portion):
         return (
-            "7", name, name, "male", "1900-01-01", f"Paris, {place}", None,
+            "7", name, name, "male", "1900-01-01", f"Paris, {place}" if place else "Paris", None,
             [{"awardYear": "1950", "category": "Physics", "portion": portion, "motivation": name}],
         )
 
@@ -209,11 +209,11 @@ def test_the_last_record_in_order_wins(spark, tmp_path):
         "countryNow string, continent string>>>>"
     )
     rows = [record("A", "Z", "1/3"), record("Z", "A", "1/2"), record("M", None, "1/4")]
-    tree = nested(spark, TREE[:1], schemas.TREE)
+    tree = world["enriched"].tree
     for order in ([2, 1, 0], [0, 2, 1], [0, 1, 2]):
         ref = spark.createDataFrame(rows, schema).withColumn("position", F.lit(0))
         place = F.element_at(F.create_map(*[F.lit(x) for n, k in zip("AZM", order) for x in (n, k)]), F.col("fullName"))
-        folder = GraphFolder(spark, str(tmp_path / str(order)))
+        folder = GraphFolder(spark, str(tmp_path / "".join(map(str, order))))
         graph, _ = stages.graph_stage(folder, tree, ref.withColumn("position", place), "position")
         last = "AZM"[order.index(2)]
         person = graph.nodes["Scholar"].filter("id = 'l7'").first()
