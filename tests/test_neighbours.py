@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinweave.functions.vectors import nearest, prepare
+from kinweave.operators import neighbours as neighbour_module
 from kinweave.operators.approximate import approximate_topk, build_vector_index
 from kinweave.operators.embed import embed, embed_rows, hashed_ngrams, ngram_vectors
 from kinweave.operators.neighbours import query_index, topk_similarity
@@ -222,3 +223,26 @@ def test_column_counts_equal_the_default_model(spark):
     for i, counted in counts.items():
         assert np.allclose(counted / np.linalg.norm(counted), want[i])
     assert len(counts) == len(texts)
+
+
+def test_a_row_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
+    """In vectors without clusters no cell is ruled out; the visits grow with the groups, not the cells."""
+    rows, seen = sample(300, 16, 12), []
+    plain = neighbour_module.score_groups
+
+    def counted(visits, rights, keys, *rest):
+        seen.append((visits.count(), rights.groupBy(*keys).count().agg(F.max("count")).first()[0]))
+        return plain(visits, rights, keys, *rest)
+
+    monkeypatch.setattr(neighbour_module, "score_groups", counted)
+    df = frame(spark, rows)
+    got = topk_similarity(df, df, 3, exclude_self=True, small_rows=0, group_rows=100, pivots=40)
+    assert neighbours(got) == brute(rows, rows, 3, same=True)
+    # 40 cells of about 7 rows make four groups at most, of 100 rows at most.
+    assert seen[0][0] <= 300 * 5 and seen[0][1] <= 100
+
+
+def test_cells_are_packed_whole_or_dealt_out():
+    first, chunks = neighbour_module._packed(np.array([3, 4, 5, 25, 1, 10, 2]), 10)
+    assert first.tolist() == [0, 0, 1, 2, 5, 6, 7]
+    assert chunks.tolist() == [1, 1, 1, 3, 1, 1, 1]
