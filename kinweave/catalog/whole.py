@@ -32,7 +32,7 @@ def p1(spark, d):
     raw = shapes.raw(spark, d)
     page = F.floor(F.col("id").cast("long") / PAGE)
     paged = raw.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*raw.columns)).alias("laureates"))
-    write_records(paged.select("laureates"), pages)
+    write_records(paged.select("laureates"), pages, compression="gzip")
     stages.raw_stage(spark, pages, target)
     ref = read_records(spark, target, schemas.REFERENCE)
     sizes = F.aggregate("prizes", F.lit(0), lambda n, p: n + F.size(p["affiliations"]))

@@ -52,10 +52,15 @@ def raw_stage(
     excluded: list[str] = EXCLUDED_CATEGORIES,
     mode: str = "per_prize",
     layout: str = "lines",
+    compression: str | None = "gzip",
 ) -> None:
-    """Pages of raw records to reference records."""
+    """Pages of raw records to reference records.
+
+    ``per_prize`` writes a record once for each of its prizes, with all of them in it; such
+    copies follow each other and are packed to little more than one of them.
+    """
     raw = assemble_pages(spark, pages, schemas.RAW_PAGE, "laureates", layout)
-    write_records(reshape_raw(raw, excluded, mode), target)
+    write_records(reshape_raw(raw, excluded, mode), target, compression=compression)
 
 
 def declare_vectors(folder: GraphFolder) -> None:

@@ -33,9 +33,17 @@ def assemble_pages(
     return pages.select(F.explode(list_field).alias("_record")).select("_record.*")
 
 
-def write_records(df: DataFrame, path: str, layout: str = "lines") -> None:
-    """Replace the target with ``df``; NULL fields are written, not left out."""
+def write_records(
+    df: DataFrame, path: str, layout: str = "lines", compression: str | None = None
+) -> None:
+    """Replace the target with ``df``; NULL fields are written, not left out.
+
+    ``compression`` is a codec of the layout's writer. Lines packed by ``gzip`` are read back
+    by one task a file, so they suit tables that are written in many parts.
+    """
     writer = df.write.mode("overwrite")
+    if compression is not None:
+        writer = writer.option("compression", compression)
     if layout == "parquet":
         writer.parquet(path)
     elif layout == "lines":

@@ -253,3 +253,17 @@ def test_candidates_list_a_person_once(spark):
         mixed = candidates(near, targets, "pk", ["id", "t"], seed=seed).first().candidates
         assert {c.id for c in mixed} == {7, 8}
         assert mixed == candidates(near.repartition(3), targets, "pk", ["id", "t"], seed=seed).first().candidates
+
+
+def test_copies_of_a_record_take_little_disk(spark, tmp_path):
+    """A record is written once for each prize with all prizes in it: the square of their number."""
+    prizes = [
+        {"awardYear": str(1800 + i), "category": {"en": "Physics"}, "motivation": {"en": f"work {i * 7919}"}}
+        for i in range(60)
+    ]
+    (tmp_path / "pages.json").write_text(json.dumps({"laureates": [{"id": "1", "nobelPrizes": prizes}]}))
+    stages.raw_stage(spark, str(tmp_path / "pages.json"), str(tmp_path / "reference"))
+    ref = read_records(spark, str(tmp_path / "reference"), schemas.REFERENCE)
+    assert [len(r.prizes) for r in ref.collect()] == [60] * 60
+    stored = sum(p.stat().st_size for p in (tmp_path / "reference").glob("part-*"))
+    assert stored < 3 * len(json.dumps(prizes))
