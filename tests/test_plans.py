@@ -5,6 +5,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from kinweave.catalog import shapes
 from kinweave.catalog.shapes import table
 from kinweave.operators.keys import keep_one, last_wins
 from kinweave.operators.neighbours import topk_similarity
@@ -122,3 +123,36 @@ def test_sources_avoid_what_does_not_scale():
     }
     for bad in ("localCheckpoint", "crossJoin", ".toPandas(", ".rdd", "F.udf("):
         assert not [p for p, text in code.items() if bad in text], bad
+
+
+def test_the_texts_of_order_lines_are_looked_up_after_the_last_shuffle_of_lines(spark):
+    ref = shapes.reference(spark, SF_DIR)
+    plan = ref._jdf.queryExecution().optimizedPlan().toString()
+    # From the top: the supplier meets the lines above the deal to the customers, by broadcast.
+    assert plan.index("s_suppkey") < plan.index("RepartitionByExpression [o_custkey")
+    ref.collect()
+    text = plan_of(ref)
+    lines = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
+    assert lines and not any("s_name" in x or "affiliations" in x for x in lines)
+
+
+def test_lines_of_unknown_suppliers_and_orders_without_lines(spark, tmp_path):
+    for name in ("region", "nation", "customer", "supplier", "orders", "lineitem"):
+        rows = table(spark, SF_DIR, name)
+        if name == "supplier":
+            rows = rows.filter("s_suppkey % 2 = 0")
+        if name == "lineitem":
+            rows = rows.filter("l_orderkey % 3 > 0")
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    d = str(tmp_path)
+    ref = shapes.reference(spark, d)
+    got = {
+        r.o_orderkey: r.n
+        for r in ref.select(F.explode("prizes").alias("p"))
+        .select("p.o_orderkey", F.size("p.affiliations").alias("n")).collect()
+    }
+    kept = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    want = {r.o_orderkey: 0 for r in table(spark, d, "orders").select("o_orderkey").collect()}
+    want.update({r.l_orderkey: r["count"] for r in kept.groupBy("l_orderkey").count().collect()})
+    assert got == want
+    assert ref.count() == table(spark, d, "customer").count()
