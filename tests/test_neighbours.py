@@ -246,3 +246,22 @@ def test_cells_are_packed_whole_or_dealt_out():
     first, chunks = neighbour_module._packed(np.array([3, 4, 5, 25, 1, 10, 2]), 10)
     assert first.tolist() == [0, 0, 1, 2, 5, 6, 7]
     assert chunks.tolist() == [1, 1, 1, 3, 1, 1, 1]
+
+
+def test_names_are_dealt_to_tasks_before_they_are_embedded(spark):
+    """One file is one task, however many names it holds."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id int, t string").coalesce(1)
+    dealt = embed_rows(df, "id", "t", partitions=3)
+    assert dealt.rdd.getNumPartitions() == 3
+    assert {r.id: r.vector for r in dealt.collect()} == {r.id: r.vector for r in embed_rows(df, "id", "t").collect()}
+
+
+def test_groups_are_scored_in_tasks_of_their_own_number(spark):
+    """Groups of few bytes are not put together into one task: their scores are the work."""
+    rows = np.eye(8)
+    blocks = [f"b{i % 4}" for i in range(8)]
+    left = frame(spark, rows, blocks).toDF("source_id", "_vec", "_block")
+    right = frame(spark, rows, blocks).toDF("target_id", "_vec", "_block")
+    found = neighbour_module.score_groups(left, right, ["_block"], 2, "cosine", 100)
+    assert found.rdd.getNumPartitions() == 8
+    assert found.count() == 16
