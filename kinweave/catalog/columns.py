@@ -416,6 +416,10 @@ def b23(spark, d):
 # --- joins ---
 
 
+# Pairs of names whose rows one task makes and counts.
+PAIRS_OF_TASK = 250_000
+
+
 @query(
     "c1_left_join_twice",
     build("""SELECT parent_name, child_name, parent_id, child_id, count(*) AS n
@@ -423,7 +427,11 @@ def b23(spark, d):
 )
 def c1(spark, d):
     # All rows are made; they are compared as counts, of which there are far fewer.
-    pairs = reshape.mentor_pairs(materialise(shapes.tree_with_ids(spark, d), "tree"))
+    tree = materialise(shapes.tree_with_ids(spark, d), "tree")
+    made = F.greatest(F.size("children"), F.lit(1)).cast("long") * F.greatest(F.size("parents"), F.lit(1))
+    n_pairs = tree.agg(F.coalesce(F.sum(made), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_pairs // PAIRS_OF_TASK))
+    pairs = reshape.mentor_pairs(tree, partitions=tasks)
     return pairs.groupBy(*pairs.columns).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -156,3 +156,17 @@ def test_lines_of_unknown_suppliers_and_orders_without_lines(spark, tmp_path):
     want.update({r.l_orderkey: r["count"] for r in kept.groupBy("l_orderkey").count().collect()})
     assert got == want
     assert ref.count() == table(spark, d, "customer").count()
+
+
+def test_mentor_rows_are_grouped_where_they_were_dealt(spark):
+    """The number of tasks that make and count the rows is given, not found from their bytes."""
+    from kinweave.operators.reshape import mentor_pairs
+
+    tree = materialise(shapes.tree_with_ids(spark, SF_DIR), "tree")
+    got = {}
+    for partitions in (None, 11):
+        pairs = mentor_pairs(tree, partitions=partitions)
+        counted = pairs.groupBy(*pairs.columns).agg(F.count(F.lit(1)).alias("n"))
+        got[partitions] = sorted(map(str, counted.collect()))
+    assert got[11] == got[None]
+    assert counted.rdd.getNumPartitions() == 11
