@@ -45,16 +45,31 @@ def _in_line_order(item: Column) -> Column:
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree entries: the customer of an order is the child, its suppliers the parents."""
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    nothing = F.lit(None)
-    parent = F.struct(
-        F.col("s_name").alias("name"),
-        F.lit("scholar").alias("type"),
-        nothing.cast("string").alias("category"),
-        nothing.cast("int").alias("year"),
+    places = ["l_linenumber", "l_suppkey", "l_partkey"]
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .filter("l_orderkey IS NOT NULL")
+        .select("l_orderkey", *places)
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    parents = order_lines(spark, sf_dir).join(
-        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+    # A list holds the place and the name of a line; what is the same in all parents is added
+    # to the sorted list. The shuffle by order serves the join too.
+    lists = (
+        lines.repartition("l_orderkey")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct(*places, "s_name"))).alias("lines"))
     )
+    nothing = F.lit(None)
+
+    def parent(line: Column) -> Column:
+        return F.struct(
+            line["s_name"].alias("name"),
+            F.lit("scholar").alias("type"),
+            nothing.cast("string").alias("category"),
+            nothing.cast("int").alias("year"),
+        )
+
+    none = F.array().cast(lists.schema["lines"].dataType)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     child = F.struct(
         F.col("c_name").alias("name"),
@@ -63,21 +78,16 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("year"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    # The join shuffles by order, which the grouping then needs no second shuffle for.
-    entries = (
-        orders.join(parents, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .groupBy("o_orderkey")
-        .agg(
-            F.any_value("o_custkey").alias("o_custkey"),
-            F.any_value("o_orderdate").alias("o_orderdate"),
-            _in_line_order(parent).alias("parents"),
+    # Customers meet the flat orders, not the nested entries.
+    return (
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .select(
+            F.col("o_orderkey").cast("string").alias("entry_id"),
+            F.array(child).alias("children"),
+            F.transform(F.coalesce("lines", none), parent).alias("parents"),
         )
     )
-    return entries.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").cast("string").alias("entry_id"),
-        F.array(child).alias("children"),
-        "parents",
-    )
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,6 +158,21 @@ def test_lines_of_unknown_suppliers_and_orders_without_lines(spark, tmp_path):
     assert ref.count() == table(spark, d, "customer").count()
 
 
+def test_the_lists_of_the_tree_are_gathered_after_the_last_shuffle(spark, conf):
+    """Customers meet the flat orders, so that no shuffle moves a list, and a parent's fixed
+    fields are not gathered."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tree = shapes.tree(spark, SF_DIR)
+    lines = tree._jdf.queryExecution().sparkPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    gathered = next(i for i, x in enumerate(lines) if "collect_list" in x)
+    above = [x for i, x in enumerate(lines[:gathered]) if depth[i] < min(depth[i + 1 : gathered + 1])]
+    assert above and not any("c_custkey" in x for x in above if "Join" in x)
+    assert not any("collect_list" in x and "scholar" in x for x in lines)
+    orders = table(spark, SF_DIR, "orders")
+    assert tree.count() == tree.select("entry_id").distinct().count() == orders.count()
+
+
 def test_mentor_rows_are_grouped_where_they_were_dealt(spark):
     """The number of tasks that make and count the rows is given, not found from their bytes."""
     from kinweave.operators.reshape import mentor_pairs
