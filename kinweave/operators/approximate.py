@@ -381,4 +381,6 @@ def _by_block(
     rights = (
         index.entries.withColumnRenamed("id", "target_id").join(wanted, "block").join(stored, "target_id")
     )
-    return score_groups(visits, rights, ["block"], keep, index.signer.metric, group_rows)
+    # Blocks are small groups: a task takes as many as have the rows of a large one.
+    per_task = max(1, group_rows * index.blocks // index.n)
+    return score_groups(visits, rights, ["block"], keep, index.signer.metric, group_rows, per_task)

@@ -92,15 +92,21 @@ def vector_stage(
     approximate: bool = False,
 ) -> None:
     """Key, embed and load both sources, then store the ``k`` nearest reference rows of
-    each source row as SIMILAR_TO edges. The approximate index is stored beside the tables."""
+    each source row as SIMILAR_TO edges. The approximate index is stored beside the tables.
+
+    The rows that stay are chosen and stored before they get their vectors, which depend on the
+    text of a row alone: no vector of a row that goes is made, joined or sorted."""
     declare_vectors(folder)
     for name in ("Scholar", "Reference", "SIMILAR_TO"):
         folder.reset(name)
-    source = folder.load_nodes(keyed_source(embed(laureate_keys(tree), "pk", embedder)), "Scholar")
+    # A source row's vector is that of its longer key, with the year.
+    kept = keyed_source(laureate_keys(tree).withColumn("_text", F.col("pk")))
+    kept = materialise(kept, "source-rows")
+    source = folder.load_nodes(embed(kept, "_text", embedder), "Scholar")
+    records = keyed_reference(reference_keys(ref).filter("pk IS NOT NULL"))
+    records = materialise(records, "reference-rows")
     reference = folder.load_nodes(
-        keyed_reference(embed(reference_keys(ref).filter("pk IS NOT NULL"), "pk", embedder)),
-        "Reference",
-        schemas.KEYED_REFERENCE.fieldNames(),
+        embed(records, "pk", embedder), "Reference", schemas.KEYED_REFERENCE.fieldNames()
     )
     if approximate:
         index = build_vector_index(reference, id_col="pk", path=_index_path(folder))

@@ -265,3 +265,25 @@ def test_groups_are_scored_in_tasks_of_their_own_number(spark):
     found = neighbour_module.score_groups(left, right, ["_block"], 2, "cosine", 100)
     assert found.rdd.getNumPartitions() == 8
     assert found.count() == 16
+
+
+def test_small_groups_share_a_task(spark, monkeypatch):
+    """The blocks of an index are small, so a task scores as many as have the rows of a large group."""
+    rows = np.eye(8)
+    blocks = [f"b{i % 4}" for i in range(8)]
+    left = frame(spark, rows, blocks).toDF("source_id", "_vec", "_block")
+    right = frame(spark, rows, blocks).toDF("target_id", "_vec", "_block")
+    plain, seen = neighbour_module.score_groups, []
+    found = plain(left, right, ["_block"], 2, "cosine", 100, 4)
+    assert found.rdd.getNumPartitions() == 2
+    assert sorted(found.collect()) == sorted(plain(left, right, ["_block"], 2, "cosine", 100).collect())
+
+    def counted(*args):
+        seen.append(args[6])
+        return plain(*args)
+
+    monkeypatch.setattr("kinweave.operators.approximate.score_groups", counted)
+    df = frame(spark, sample(60, 4, 3))
+    index = build_vector_index(df, tables=2, block_rows=6)
+    assert approximate_topk(df, index, 1, small_rows=0, group_rows=30).count() == 60
+    assert seen == [5]

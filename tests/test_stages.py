@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave import schemas
+from kinweave.operators.embed import hashed_ngrams
 from kinweave.operators.paths import incoming_counts, lookup
 from kinweave.operators.resolve import (
     candidates,
@@ -267,3 +268,27 @@ def test_copies_of_a_record_take_little_disk(spark, tmp_path):
     assert [len(r.prizes) for r in ref.collect()] == [60] * 60
     stored = sum(p.stat().st_size for p in (tmp_path / "reference").glob("part-*"))
     assert stored < 3 * len(json.dumps(prizes))
+
+
+def test_only_rows_that_stay_are_embedded(spark, tmp_path):
+    """The vector of a kept source row is that of its own longer key, made once."""
+    texts = spark.sparkContext.accumulator(0)
+
+    def embedder(some):
+        texts.add(len(some))
+        return hashed_ngrams(some)
+
+    tree = nested(spark, [
+        {"children": [laureate("Marie Curie", "Physics", year)], "parents": []} for year in (1911, 1903, 1920)
+    ], schemas.TREE)
+    prizes = [{"awardYear": "1903", "category": "Physics"}]
+    people = [{"id": i, "fullName": "Marie Curie", "prizes": prizes} for i in ("6", "7")]
+    ref = nested(spark, people, schemas.REFERENCE)
+    folder = GraphFolder(spark, str(tmp_path / "vectors"))
+    stages.vector_stage(folder, tree, ref, embedder)
+    kept = folder.table("Scholar").collect()
+    assert [(r.pk, r.year) for r in kept] == [("marie curie physics", "1903")]
+    want = hashed_ngrams(["marie curie physics 1903"])[0].astype("float32").tolist()
+    assert kept[0].vector == want
+    assert [(r.pk, r.id) for r in folder.table("Reference").collect()] == [("marie curie physics 1903", "6")]
+    assert texts.value == 2
