@@ -22,6 +22,11 @@ def make_key(*parts: Column | str, sep: str = " ") -> Column:
     return F.concat(*pieces)
 
 
+def similarity(distance: Column) -> Column:
+    """Score of a distance."""
+    return 1 - distance
+
+
 def contains_any(column: Column, *needles: str) -> Column:
     """True where the text holds at least one of the needles."""
     return reduce(lambda a, b: a | b, [column.contains(n) for n in needles])

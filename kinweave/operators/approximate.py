@@ -101,6 +101,18 @@ class VectorIndex:
     blocks: int
     n: int
 
+    @property
+    def tables(self) -> int:
+        return self.signer.tables
+
+    @property
+    def bits(self) -> int:
+        return self.signer.bits
+
+    @property
+    def seed(self) -> int:
+        return self.signer.seed
+
 
 def _moments(rows: DataFrame, dim: int) -> tuple[tuple[float, ...], float]:
     """Mean vector, and the root of the mean squared distance to it."""
