@@ -90,17 +90,21 @@ class Signer:
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """``rows`` has (id, vector). ``entries`` has (block, id) in the order of the signatures of
-    each table, cut into blocks; ``bounds`` the first signature and size of each block. A block
-    number is table * ``blocks`` + place."""
+    """``rows`` has (id, vector) and the signature of each table with a hash of the id, in whose
+    order the rows of a table are cut into blocks; ``bounds`` the first signature and hash and the
+    size of each block. A block number is table * ``blocks`` + place."""
 
     rows: DataFrame
-    entries: DataFrame
     bounds: DataFrame
     signer: Signer
     blocks: int
     n: int
 
+    @property
+    def entries(self) -> DataFrame:
+        """(block, id): each row once for each table."""
+        return _entries(self, _Finder(self))
+
     @property
     def tables(self) -> int:
         return self.signer.tables
@@ -141,23 +145,20 @@ def _moments(rows: DataFrame, dim: int) -> tuple[tuple[float, ...], float]:
 
 
 def _signed(rows: DataFrame, signer: Signer) -> DataFrame:
-    """(id, signatures) of the stored rows."""
-    schema = T.StructType(
-        [rows.schema["id"], T.StructField("signatures", T.ArrayType(T.LongType()))]
-    )
+    """Rows with ``signatures``, one for each table."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("signatures", T.ArrayType(T.LongType()))])
+    at = rows.columns.index("vector")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            codes = signer.signatures(matrix(batch.column(1)), "right")
+            codes = signer.signatures(matrix(batch.column(at)), "right")
             ends = pa.array(np.arange(len(codes) + 1, dtype=np.int32) * signer.tables)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(codes.ravel()))],
-                names=schema.names,
-            )
+            lists = pa.ListArray.from_arrays(ends, pa.array(codes.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=schema.names)
 
-    return rows.select("id", "vector").mapInArrow(sign, schema)
+    return rows.mapInArrow(sign, schema)
 
 
 def build_vector_index(
@@ -189,27 +190,38 @@ def build_vector_index(
     good = df.filter(vector_ok(F.col(vector), dim)).select(
         F.col(id_col).alias("id"), F.col(vector).alias("vector")
     )
-    good.write.mode("overwrite").parquet(f"{target}/rows")
-    rows = spark.read.schema(good.schema).parquet(f"{target}/rows")
-    n, longest = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    radius, mean, spread = 0.0, (), 0.0
+    # The measures of l2 and the dot product are taken over all rows, so these are stored first.
+    stored = good if metric == "cosine" else materialise(good, "vectors")
+    n, longest, radius, mean, spread = None, 0, 0.0, (), 0.0
+    if metric != "cosine":
+        n, longest = stored.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     if n and metric == "dot":
-        radius = largest_norm(rows)
+        radius = largest_norm(stored)
     if n and metric == "l2":
-        mean, spread = _moments(rows, longest)
+        mean, spread = _moments(stored, longest)
     signer = Signer(tables, bits, seed, metric, radius, mean, spread)
+    signed = _signed(stored.withColumn("_tie", F.xxhash64("id")), signer)
+    signed.write.mode("overwrite").parquet(f"{target}/rows")
+    rows = spark.read.schema(signed.schema).parquet(f"{target}/rows")
+    n = rows.count()
     per_table = max(1, min(-(-n // block_rows), MOST_BLOCKS // tables))
     size = max(1, -(-n // per_table))
-    entries = _signed(rows, signer).select("id", F.posexplode("signatures").alias("_table", "_sig"))
-    order = ["_table", "_sig", "_tie", "id"]
-    ordered = assign_index(entries.withColumn("_tie", F.xxhash64("id")), order, "_at")
+    # Signatures and hashes alone are put in order; ids and vectors stay where they are.
+    entries = rows.select("_tie", F.posexplode("signatures").alias("_table", "_sig"))
+    ordered = assign_index(entries, ["_table", "_sig", "_tie"], "_at")
     # Each table has every row once, so a place in all tells the place in its table.
     place = F.col("_at") - 1 - F.col("_table") * n
-    block = F.col("_table") * F.lit(per_table) + F.floor(place / size)
-    stored = ordered.select(block.cast("long").alias("block"), "_sig", "id")
-    stored.write.mode("overwrite").parquet(f"{target}/entries")
-    written = spark.read.schema(stored.schema).parquet(f"{target}/entries")
-    bounds = written.groupBy("block").agg(F.min("_sig").alias("first"), F.count(F.lit(1)).alias("n"))
+    block = (F.col("_table") * F.lit(per_table) + F.floor(place / size)).cast("long")
+    bounds = (
+        ordered.withColumn("_place", place)
+        .filter(F.pmod("_place", F.lit(size)) == 0)
+        .select(
+            block.alias("block"),
+            F.col("_sig").alias("first"),
+            F.col("_tie").alias("tie"),
+            F.least(F.lit(size), F.lit(n) - F.col("_place")).cast("long").alias("n"),
+        )
+    )
     bounds.write.mode("overwrite").parquet(f"{target}/bounds")
     settings = [(tables, bits, seed, metric, radius, list(mean), spread, per_table, n)]
     spark.createDataFrame(settings, SETTINGS).coalesce(1).write.mode("overwrite").parquet(
@@ -226,11 +238,8 @@ def open_vector_index(spark: SparkSession, path: str) -> VectorIndex:
         tuple(kept["mean"]), kept["spread"],
     )
     rows = spark.read.parquet(f"{path}/rows")
-    entries = spark.read.schema(
-        T.StructType([T.StructField("block", T.LongType()), rows.schema["id"]])
-    ).parquet(f"{path}/entries")
-    bounds = spark.read.schema("block long, first long, n long").parquet(f"{path}/bounds")
-    return VectorIndex(rows, entries, bounds, signer, kept["blocks"], kept["n"])
+    bounds = spark.read.schema("block long, first long, tie long, n long").parquet(f"{path}/bounds")
+    return VectorIndex(rows, bounds, signer, kept["blocks"], kept["n"])
 
 
 class _Finder:
@@ -241,6 +250,32 @@ class _Finder:
         self.signer, self.blocks = index.signer, index.blocks
         self.block = table["block"].to_numpy()
         self.first, self.size = table["first"].to_numpy(), table["n"].to_numpy()
+        self.tie = table["tie"].to_numpy()
+
+    def parts(self) -> dict:
+        """What a task needs to make the finder again; plain values, as those sent to tasks do not
+        carry the code of this package."""
+        return {**vars(self), "signer": vars(self.signer)}
+
+    @classmethod
+    def of(cls, parts: dict) -> _Finder:
+        finder = cls.__new__(cls)
+        vars(finder).update(parts, signer=Signer(**parts["signer"]))
+        return finder
+
+    def blocks_of(self, codes: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """The block of each table that holds a stored row: the last that begins not after it."""
+        found = []
+        for table in range(self.signer.tables):
+            begin, end = np.searchsorted(self.block, np.array([table, table + 1]) * self.blocks)
+            first, tie, sig = self.first[begin:end], self.tie[begin:end], codes[:, table]
+            at = np.searchsorted(first, sig, "right") - 1
+            # Blocks that begin with the same signature are told apart by the hash.
+            low = np.searchsorted(first, sig, "left")
+            for row in np.flatnonzero(first[at] == sig):
+                at[row] = low[row] + np.searchsorted(tie[low[row] : at[row] + 1], ties[row], "right") - 1
+            found.append(self.block[begin + np.maximum(at, 0)])
+        return np.column_stack(found)
 
     def visits(self, vectors: np.ndarray, ties: np.ndarray) -> np.ndarray:
         """Two blocks of each table for each vector: its own and the one that begins or ends
@@ -261,6 +296,35 @@ class _Finder:
         return self.block[np.column_stack(found)]
 
 
+def _entries(index: VectorIndex, finder: _Finder) -> DataFrame:
+    """(block, id): each stored row once for each table."""
+    placed = _placed(index, finder, ["id"])
+    return placed.select(F.explode("blocks").alias("block"), "id")
+
+
+def _placed(index: VectorIndex, finder: _Finder, columns: list[str]) -> DataFrame:
+    """``columns`` of the stored rows with their blocks."""
+    shared = index.rows.sparkSession.sparkContext.broadcast(finder.parts())
+    kept = index.rows.select("_tie", "signatures", *columns)
+    schema = T.StructType([*kept.schema.fields[2:], T.StructField("blocks", T.ArrayType(T.LongType()))])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = _Finder.of(shared.value)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            codes = matrix(batch.column(1), "i8")
+            blocks = finder.blocks_of(codes, batch.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], _block_lists(blocks)], names=schema.names)
+
+    return kept.mapInArrow(place, schema)
+
+
+def _block_lists(blocks: np.ndarray) -> pa.ListArray:
+    ends = pa.array(np.arange(len(blocks) + 1, dtype=np.int32) * blocks.shape[1])
+    return pa.ListArray.from_arrays(ends, pa.array(blocks.ravel()))
+
+
 def _hashes(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """A number from each id that does not depend on the run."""
     return np.fromiter((zlib.crc32(str(v).encode()) for v in ids.to_pylist()), np.int64)
@@ -340,10 +404,7 @@ def _from_small(lhs: DataFrame, index: VectorIndex, finder: _Finder, keep: int)
     ids = table["source_id"].combine_chunks()
     shared = spark.sparkContext.broadcast((blocks, of_block, ids, prepare(vectors, metric)))
     wanted = spark.createDataFrame([(int(b),) for b in blocks], "block long")
-    near = (
-        index.entries.filter(F.col("block").between(int(blocks[0]), int(blocks[-1])))
-        .join(F.broadcast(wanted), "block")
-    )
+    near = _entries(index, finder).join(F.broadcast(wanted), "block")
     # The candidates were counted; the stored vectors stream past them.
     rows = index.rows.join(F.broadcast(near), "id").select("id", "vector", "block")
 
@@ -373,26 +434,21 @@ def _by_block(
     lhs: DataFrame, index: VectorIndex, finder: _Finder, keep: int, group_rows: int
 ) -> DataFrame:
     """Left rows and the vectors of the index meet by block."""
-    shared = lhs.sparkSession.sparkContext.broadcast(finder)
-    schema = T.StructType([*lhs.schema.fields, T.StructField("_blocks", T.ArrayType(T.LongType()))])
+    shared = lhs.sparkSession.sparkContext.broadcast(finder.parts())
+    schema = T.StructType([*lhs.schema.fields, T.StructField("blocks", T.ArrayType(T.LongType()))])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = _Finder.of(shared.value)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            blocks = shared.value.visits(matrix(batch.column(1)), _hashes(batch.column(0)))
-            ends = pa.array(np.arange(len(blocks) + 1, dtype=np.int32) * blocks.shape[1])
-            lists = pa.ListArray.from_arrays(ends, pa.array(blocks.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=schema.names)
+            blocks = finder.visits(matrix(batch.column(1)), _hashes(batch.column(0)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _block_lists(blocks)], names=schema.names)
 
     probed = materialise(lhs.mapInArrow(visit, schema), "probes")
-    visits = probed.select("source_id", "_vec", F.explode(F.array_distinct("_blocks")).alias("block"))
-    # A million block numbers at most: entries that nobody visits stay where they are.
-    wanted = F.broadcast(visits.select("block").distinct())
-    stored = index.rows.select(F.col("id").alias("target_id"), F.col("vector").alias("_vec"))
-    rights = (
-        index.entries.withColumnRenamed("id", "target_id").join(wanted, "block").join(stored, "target_id")
-    )
-    # Blocks are small groups: a task takes as many as have the rows of a large one.
+    visits = probed.withColumn("blocks", F.array_distinct("blocks"))
+    rights = _placed(index, finder, ["id", "vector"]).toDF("target_id", "_vec", "blocks")
+    # Blocks are small groups: a task takes as many as have the rows of a large one, and those that
+    # follow each other travel together, so that a left row is moved about once for each table.
     per_task = max(1, group_rows * index.blocks // index.n)
-    return score_groups(visits, rights, ["block"], keep, index.signer.metric, group_rows, per_task)
+    return score_groups(visits, rights, ["block"], keep, index.signer.metric, group_rows, per_task, per_task)
