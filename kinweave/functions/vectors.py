@@ -9,6 +9,8 @@ METRICS = ("cosine", "l2", "dot")
 # Scores are ranked after rounding, so that sums taken in another order (other batch
 # sizes, other machines) cannot reorder neighbours that are equal.
 SCORE_DIGITS = 12
+# Distances of points to centres that are held at a time.
+DISTANCE_CELLS = 1 << 20
 # Columns of a matrix product whose maximum is taken before the best are looked for.
 SET_COLUMNS = 16
 # How far a matrix product may be off the pair-by-pair score.
@@ -130,3 +132,17 @@ def as_points(rows: np.ndarray, metric: str, side: str, radius: float) -> np.nda
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     squares = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
     return np.sqrt(np.maximum(squares, 0.0))
+
+
+def nearest_centre(
+    points: np.ndarray, centres: np.ndarray, cells: int = DISTANCE_CELLS
+) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each point and the distance to it, without all distances at once."""
+    cell, gap = np.empty(len(points), np.int64), np.empty(len(points))
+    step = max(1, cells // max(1, len(centres)))
+    for start in range(0, len(points), step):
+        gaps = distances(points[start : start + step], centres)
+        part = gaps.argmin(axis=1)
+        cell[start : start + step] = part
+        gap[start : start + step] = gaps[np.arange(len(part)), part]
+    return cell, gap

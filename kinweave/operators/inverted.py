@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.functions.checks import vector_ok
-from kinweave.functions.vectors import METRICS, as_points, distances, matrix
+from kinweave.functions.vectors import (
+    DISTANCE_CELLS,
+    METRICS,
+    as_points,
+    distances,
+    matrix,
+    nearest_centre,
+)
 from kinweave.operators.keys import top_k_per_group
 from kinweave.operators.neighbours import GROUP_ROWS, score_groups, score_to
 from kinweave.session import materialise, shared_path
@@ -24,6 +31,8 @@ MOST_CELLS = 4096
 SAMPLE_PER_CELL = 64
 SAMPLE_BYTES = 256 << 20
 ROUNDS = 8
+# Sampled vectors that are turned into points at a time.
+DRIVER_ROWS = 8192
 # Rows that one file of a cell holds, about.
 FILE_ROWS = 1 << 17
 SEED = 0
@@ -52,11 +61,12 @@ def largest_norm(rows: DataFrame, vector: str = "vector") -> float:
 
 def kmeans(points: np.ndarray, n_cells: int, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
     """Centres of Lloyd's rounds. Each first centre is drawn far from those before it; a cell
-    that loses all points moves to the point that is farthest from its own centre."""
+    that loses all points moves to the point that is farthest from its own centre. Beside the
+    points a few arrays of their number are held, never the distances of all points to all centres."""
     rng = np.random.default_rng(seed)
     centres = points[rng.integers(len(points))][None]
     least = 1e-6 * (1.0 + float(np.abs(points).max()))  # equal points, but for rounding
-    gaps = distances(points, centres)[:, 0]
+    gaps = nearest_centre(points, centres)[1]
     while len(centres) < min(n_cells, len(points)):
         weight = np.where(gaps > least, gaps, 0.0) ** 2
         if not weight.sum():
@@ -65,16 +75,15 @@ def kmeans(points: np.ndarray, n_cells: int, rounds: int = ROUNDS, seed: int = S
         drawn = rng.choice(len(points), max(1, len(centres) // 2), p=weight / weight.sum())
         new = np.unique(points[drawn], axis=0)[: n_cells - len(centres)]
         centres = np.concatenate([centres, new])
-        gaps = np.minimum(gaps, distances(points, new).min(axis=1))
+        gaps = np.minimum(gaps, nearest_centre(points, new)[1])
     for _ in range(rounds):
-        near = distances(points, centres)
-        cell = near.argmin(axis=1)
+        cell, near = nearest_centre(points, centres)
         size = np.bincount(cell, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, cell, points)
         centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
         lost = np.flatnonzero(size == 0)
-        far = np.argsort(-near[np.arange(len(points)), cell], kind="stable")[: len(lost)]
+        far = np.argsort(-near, kind="stable")[: len(lost)]
         centres[lost] = points[far]
     return centres
 
@@ -92,13 +101,12 @@ def _place(rows: DataFrame, centres: np.ndarray, metric: str, radius: float) ->
             if batch.num_rows == 0:
                 continue
             points = as_points(matrix(batch.column(at)), metric, "right", radius)
-            gaps = distances(points, shared.value)
-            cell = gaps.argmin(axis=1)
+            cell, gap = nearest_centre(points, shared.value)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
                     pa.array(cell.astype(np.int32)),
-                    pa.array(gaps[np.arange(len(cell)), cell]),
+                    pa.array(gap),
                 ],
                 names=schema.names,
             )
@@ -150,9 +158,13 @@ def build_inverted_index(
         sample = good.filter(low).select("vector").distinct().orderBy(h, "vector").toArrow()
         if not sample.num_rows:
             sample = good.select("vector").limit(1).toArrow()
-        points = as_points(matrix(sample["vector"]), metric, "right", radius)
+        # Batch by batch, so that the driver holds the points and no second copy of them.
+        points = np.concatenate(
+            [as_points(matrix(b.column(0)), metric, "right", radius) for b in sample.to_batches(DRIVER_ROWS) if b.num_rows]
+        )
+        del sample
         centres = kmeans(points, wanted, seed=seed)
-        del sample, points
+        del points
         # Which cell is full is known only after all rows are placed, so they are written twice.
         placed = materialise(_place(good, centres, metric, radius), "placed")
         facts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("_gap").alias("reach"))
@@ -291,10 +303,11 @@ def inverted_topk(
     metric, radius, n = index.metric, index.radius, index.n
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0 or not n:
+        numbers, centres, sizes, reach, chunks = shared.value
+        step = max(1, DISTANCE_CELLS // max(1, len(numbers)))
+        for batch in (b.slice(at, step) for b in batches for at in range(0, b.num_rows, step)):
+            if not n:
                 continue
-            numbers, centres, sizes, reach, chunks = shared.value
             points = as_points(matrix(batch.column(1)), metric, "left", radius)
             if metric == "dot":
                 points = points * radius
